@@ -33,7 +33,8 @@ def get_spark(master: str | None = None, app_name: str = "lakeops",
           .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
           .config("spark.sql.adaptive.skewJoin.enabled", "true")
           .config("spark.sql.session.timeZone", "UTC")
-          .config("spark.sql.execution.arrow.pyspark.enabled", "true"))
+          .config("spark.sql.execution.arrow.pyspark.enabled", "true")
+          .config("spark.ui.showConsoleProgress", "false"))
     if shuffle_partitions:
         b = b.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
     spark = b.getOrCreate()
