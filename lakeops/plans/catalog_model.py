@@ -45,7 +45,7 @@ _SQL_QCUT_SRC = "(SELECT o_orderkey, o_orderstatus AS measure, o_totalprice AS y
 
 @query("qcut_bins", _sql_bin(20, _SQL_QCUT_SRC, ["measure"], "o_orderkey").replace(", 20 AS q", ""))
 def q_qcut(spark, sf):
-    o = S.read_table(spark, sf, "orders")
+    o = R.tables(spark, sf).orders
     d = o.select("o_orderkey", F.col("o_orderstatus").alias("measure"), F.col("o_totalprice").alias("y"))
     return B.qcut_bins(d, ["measure"], "y", 20).select("o_orderkey", "measure", "bin")
 
@@ -57,7 +57,7 @@ _SQL_CHOOSE_SRC = """(SELECT o_orderkey, o_orderstatus AS measure, o_custkey % 1
 @query("qcut_choose_q", f"""WITH {_sql_choose(_SQL_CHOOSE_SRC, ['measure', 'service'], 'o_orderkey')}
 SELECT measure, service, q FROM chosen""")
 def q_choose(spark, sf):
-    o = S.read_table(spark, sf, "orders")
+    o = R.tables(spark, sf).orders
     d = o.select(F.col("o_orderstatus").alias("measure"), (F.col("o_custkey") % 100).alias("service"),
                  F.col("o_totalprice").alias("y"))
     return B.choose_q(d, ["measure", "service"], "y")
@@ -78,7 +78,7 @@ SELECT o_orderkey, measure, service, q, bin,
          <= round(0.2 * count(*) OVER (PARTITION BY measure, service, bin)) AS is_test
 FROM r""")
 def q_strat(spark, sf):
-    o = S.read_table(spark, sf, "orders")
+    o = R.tables(spark, sf).orders
     d = o.select("o_orderkey", F.col("o_orderstatus").alias("measure"),
                  F.col("o_orderpriority").alias("service"), F.col("o_totalprice").alias("y"))
     s = B.stratified_split(d, ["measure", "service"], "y", "o_orderkey")
@@ -92,7 +92,7 @@ SELECT o_orderkey, o_orderstatus AS measure, o_orderpriority AS service,
          <= round(0.2 * count(*) OVER (PARTITION BY o_orderstatus, o_orderpriority)) AS is_test
 FROM orders""")
 def q_random_split(spark, sf):
-    o = S.read_table(spark, sf, "orders")
+    o = R.tables(spark, sf).orders
     d = o.select("o_orderkey", F.col("o_orderstatus").alias("measure"),
                  F.col("o_orderpriority").alias("service"))
     return B.random_split(d, ["measure", "service"], "o_orderkey")
@@ -140,7 +140,7 @@ params AS (SELECT measure, service, column_name, n,
 @query("yeo_johnson_fit", f"""WITH {_sql_yj_fit()}
 SELECT measure, service, column_name, n, lmbda, round(mean, 6) AS mean, round(std, 6) AS std FROM params""")
 def q_yj_fit(spark, sf):
-    li = S.read_table(spark, sf, "lineitem")
+    li = R.tables(spark, sf).lineitem
     d = li.select(F.col("l_returnflag").alias("measure"), F.col("l_linestatus").alias("service"), *_YJ_COLS)
     fit = T.yeo_johnson_fit(d, ["measure", "service"], _YJ_COLS)
     return rounded(fit.select("measure", "service", "column_name", "n", "lmbda", "mean", "std"),
@@ -160,7 +160,7 @@ SELECT l.l_orderkey, l.l_linenumber, l.l_returnflag AS measure, l.l_linestatus A
 FROM lineitem l
 {' '.join(f"LEFT JOIN params p_{c} ON p_{c}.measure = l.l_returnflag AND p_{c}.service = l.l_linestatus AND p_{c}.column_name = '{c}'" for c in _YJ_COLS)}""")
 def q_yj_apply(spark, sf):
-    li = S.read_table(spark, sf, "lineitem")
+    li = R.tables(spark, sf).lineitem
     d = li.select("l_orderkey", "l_linenumber", F.col("l_returnflag").alias("measure"),
                   F.col("l_linestatus").alias("service"), *_YJ_COLS)
     fit = T.yeo_johnson_fit(d, ["measure", "service"], _YJ_COLS)
@@ -319,7 +319,7 @@ SELECT measure, service, 'no_model' AS model_run_id, mn AS value, 100.0::DOUBLE
        {SQL_AS_OF} AS date
 FROM g WHERE (mn IS NULL OR mn = mx) AND ck % 2 <> 0""")
 def q_single_price(spark, sf):
-    o = S.read_table(spark, sf, "orders")
+    o = R.tables(spark, sf).orders
     d = o.select(F.col("o_custkey").cast("string").alias("measure"), F.col("o_orderpriority").alias("service"),
                  "o_custkey", F.floor(F.col("o_totalprice") / 100000).cast("double").alias("y"))
     stored = d.filter(F.col("o_custkey") % 2 == 0).select("measure", "service")

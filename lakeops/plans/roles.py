@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from lakeops.operators import legs as L
 from lakeops.plans.orders import OrderCols, customer_summary as _summary
+from lakeops.session import spread
 from lakeops.sources.files import load_tables
 
 #: Fixed values that define the roles (see FIXTURES.md section C).
@@ -30,8 +31,16 @@ class Tables(dict):
         return self[k]
 
 
+#: Fact tables of the test star; spread over the cores when a scan of them
+#: is narrower than the default parallelism (see ``lakeops.session.spread``).
+FACT_TABLES = ("lineitem", "orders", "events")
+
+
 def tables(spark: SparkSession, sf_dir: str) -> Tables:
-    return Tables(load_tables(spark, sf_dir))
+    t = Tables(load_tables(spark, sf_dir))
+    for name in FACT_TABLES:
+        t[name] = spread(t[name])
+    return t
 
 
 # ---------------------------------------------------------------- orders ETL roles

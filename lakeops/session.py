@@ -77,3 +77,19 @@ def env_int(name: str, default: int) -> int:
         return int(os.environ.get(name, default))
     except ValueError:
         return default
+
+
+def spread(df, min_partitions: int | None = None):
+    """Round-robin repartition a scan that yields fewer partitions than the
+    cluster's default parallelism; otherwise return it unchanged.
+
+    A table stored as one file with one row group is read by a single task,
+    and every operator before the first shuffle (broadcast joins, per-row
+    math, partial aggregation) then runs on one core.  On a large table
+    with many splits this is a no-op.  Column pruning and filter pushdown
+    still reach the scan below the repartition.
+    """
+    want = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
