@@ -1,0 +1,5 @@
+"""No streaming operators.
+
+The original jobs are daily or manual batches: no stream source, window,
+watermark or state appears in them, so nothing here is built (see README).
+"""
