@@ -324,3 +324,15 @@ def q_single_price(spark, sf):
                  "o_custkey", F.floor(F.col("o_totalprice") / 100000).cast("double").alias("y"))
     stored = d.filter(F.col("o_custkey") % 2 == 0).select("measure", "service")
     return G.single_price_groups(d, ["measure", "service"], "y", stored, as_of=R.AS_OF)
+
+
+@query("qcut_bin_counts", f"""
+SELECT measure, min(cnt) AS min_bin_count, count(*) AS n_bins FROM (
+  SELECT measure, bin, count(*) AS cnt FROM ({_sql_bin(20, _SQL_QCUT_SRC, ['measure'], 'o_orderkey')}) b
+  GROUP BY measure, bin) c
+GROUP BY measure""")
+def q_bin_counts(spark, sf):
+    """Members per qcut bin, reduced to the smallest bin per group."""
+    o = R.tables(spark, sf).orders
+    d = o.select("o_orderkey", F.col("o_orderstatus").alias("measure"), F.col("o_totalprice").alias("y"))
+    return B.bin_counts(B.qcut_bins(d, ["measure"], "y", 20), ["measure"])
