@@ -118,3 +118,13 @@ def test_balance_shares_sum_to_one(spark, xs):
     tb = P.target_balance(df, ["g"], "y").collect()
     assert abs(sum(r.percent_counts for r in tb) - 1.0) < 1e-12
     assert sum(r.counts for r in tb) == len(xs)
+
+
+def test_split_exact_share_with_large_colliding_keys(spark):
+    # every key is 5 mod (2^31 - 1): equal pseudo-random rank, told apart by the key
+    m = 2147483647
+    df = spark.createDataFrame([(i * m + 5, "g") for i in range(1, 51)], "id long, g string")
+    out = B.random_split(df, ["g"], "id").collect()
+    assert sum(r.is_test for r in out) == 10
+    b = B.random_split(df, ["g"], "id", strategy="distributed").collect()
+    assert sorted((r.id, r.is_test) for r in out) == sorted((r.id, r.is_test) for r in b)
