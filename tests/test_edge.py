@@ -291,7 +291,7 @@ def test_target_balance_shares_sum_to_one(spark):
 # ------------------------------------------------------------------ sources
 
 def test_connector_option_builders():
-    o = jdbc_options("jdbc:postgresql://h/db", "(SELECT * FROM t WHERE k > 0) s", "u", "p",
+    o = jdbc_options("jdbc:example://h/db", "(SELECT * FROM t WHERE k > 0) s", "u", "p",
                      partition_column="k", lower_bound=0, upper_bound=100, num_partitions=8)
     assert o["dbtable"].startswith("(SELECT") and o["numPartitions"] == "8"
     with pytest.raises(ValueError):
