@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import os
+
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -13,6 +15,10 @@ LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
 
 
 def load(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
+    """A table of the folder.  Python workers import this package by name:
+    where it is not installed, tell them where the driver has it."""
+    root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+    spark.sparkContext.environment.setdefault("PYTHONPATH", root)
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from lakeops.llm import simhash
+from lakeops.llm import decontam, quality, secrets, simhash, urls
 from lakeops.llm.common import load
 
 QUERIES: dict = {}
@@ -21,3 +21,37 @@ def op1_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document with its fingerprint and near-duplicate group."""
     rows = simhash.near_duplicates(load(spark, sf_dir, "documents"))
     return rows.select("doc_id", simhash.fingerprint_hex(F.col("fp")).alias("fingerprint"), "component_id")
+
+
+@query
+def op2_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document with its secret spans."""
+    return secrets.secret_report(load(spark, sf_dir, "documents"))
+
+
+ORACLE["op2_secret_scan"] = secrets.oracle_sql()
+
+
+@query
+def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document with its counts and the verdict of the rules."""
+    return quality.quality_rules(load(spark, sf_dir, "documents"))
+
+
+@query
+def op5_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page with the rule and verdict of its url."""
+    pages = load(spark, sf_dir, "pages")
+    return urls.url_verdicts(pages.select("page_id", "url"), urls.listed_hosts(pages)).select("page_id", "host", "path", "rule", "verdict")
+
+
+ORACLE["op5_url_filter"] = urls.oracle_sql()
+
+
+@query
+def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document with the benchmark items it holds."""
+    return decontam.decontaminate(load(spark, sf_dir, "documents"), load(spark, sf_dir, "benchmark")).drop("text_hash")
+
+
+ORACLE["op7_decontamination"] = decontam.oracle_sql()
