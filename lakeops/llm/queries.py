@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from lakeops.llm import decontam, quality, secrets, simhash, urls
+from lakeops.llm import decontam, packing, quality, secrets, simhash, spans, urls
 from lakeops.llm.common import load
 
 QUERIES: dict = {}
@@ -55,3 +55,15 @@ def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 ORACLE["op7_decontamination"] = decontam.oracle_sql()
+
+
+@query
+def op6_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document without the passages that stand elsewhere before."""
+    return spans.drop_repeats(load(spark, sf_dir, "documents"))
+
+
+@query
+def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The pieces of all documents in their sequences."""
+    return packing.pack(load(spark, sf_dir, "documents"))
