@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from lakeops.llm import decontam, packing, quality, secrets, simhash, spans, urls
+from lakeops.llm import decontam, packing, pii, quality, secrets, simhash, spans, urls
 from lakeops.llm.common import load
 
 QUERIES: dict = {}
@@ -67,3 +67,9 @@ def op6_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The pieces of all documents in their sequences."""
     return packing.pack(load(spark, sf_dir, "documents"))
+
+
+@query
+def op10_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document with its spans of personal data."""
+    return pii.personal_data(load(spark, sf_dir, "documents"))
