@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from lakeops.llm import decontam, lm, packing, pii, quality, secrets, simhash, spans, urls
+from lakeops.llm import decontam, html, lm, packing, pii, quality, secrets, simhash, spans, urls
 from lakeops.llm.common import load
 
 QUERIES: dict = {}
@@ -79,3 +79,9 @@ def op10_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op9_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document with its masked pseudo-likelihood."""
     return lm.pseudo_likelihood(load(spark, sf_dir, "documents"))
+
+
+@query
+def op4_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page with its main text."""
+    return html.extract(load(spark, sf_dir, "pages"))
