@@ -228,9 +228,9 @@ def keep_clean(docs: DataFrame, benchmark: DataFrame, block_windows: int = BLOCK
                 yield b.filter(pa.array([not _verdict(n, covered(s)) for n, s, _ in found], pa.bool_()))
 
         return docs.mapInArrow(run, docs.schema)
-    bad = stage_table(decontaminate(docs, benchmark, block_windows).filter("contaminated").select(F.col("doc_id").alias("__id"), F.col("text_hash").alias("__hash")).distinct(), "decontam-bad")
-    rows = docs.withColumn("__text", F.xxhash64(F.coalesce("text", F.lit("")).cast("binary")))
-    return rows.join(bad, rows["doc_id"].eqNullSafe(bad["__id"]) & (rows["__text"] == bad["__hash"]), "left_anti").select(*docs.columns)
+    bad = stage_table(decontaminate(docs, benchmark, block_windows).filter("contaminated").select("doc_id", "text_hash").distinct(), "decontam-bad")
+    rows = docs.select(F.struct(*docs.columns).alias("row"), F.xxhash64(F.coalesce("text", F.lit("")).cast("binary")).alias("hash"))
+    return rows.join(bad, rows["row.doc_id"].eqNullSafe(bad["doc_id"]) & (rows["hash"] == bad["text_hash"]), "left_anti").select("row.*")
 
 
 def oracle_sql() -> str:

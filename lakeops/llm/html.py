@@ -28,6 +28,8 @@ from lakeops.llm.common import arrow_batch
 
 #: Pages whose elements are the labelled rows.
 SAMPLE = 120
+#: Assembled pages for each of the variants, at least.
+LAYOUTS = 120
 TREES, DEPTH, BINS, RATE = 30, 3, 16, 0.25
 #: Log-probability of an element being mixed, against main or boilerplate.
 MIXED = -1.5
@@ -350,7 +352,7 @@ def training_rows(pages: list[str], seed: int = 11, variants: int = 4) -> tuple[
     stories = stories or [["A first line of text, with some words in it.", "And a second line, which is a little longer than the first one."]]
     other = [x[:200] for s in stories for x in s[:6]]
     for _ in range(variants):
-        for story in stories if len(stories) > 20 else stories * (20 // len(stories) + 1):
+        for story in stories * (-(-LAYOUTS // len(stories))):
             first, many = rng.randrange(len(story)), rng.choice((1, 2, 3, 6, 40))
             part = [p if rng.random() < 0.6 else p[:rng.randint(30, 200)] for p in story[first:first + many]]
             tree = Marked()

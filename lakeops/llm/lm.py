@@ -33,6 +33,8 @@ BUCKETS = 16
 CLASSES = TOP + BUCKETS
 PAD = CLASSES
 VOCABULARY = 20_000
+#: Steps of a word's count per doubling, at which the vocabulary may end.
+STEPS = 16
 PLACES = (-2, -1, 1, 2)
 HIDDEN = 16
 ROUNDS = 2
@@ -88,7 +90,17 @@ class Lexicon:
 def lexicon(counts: DataFrame) -> Lexicon:
     """From the counts of all words: the frequent ones by name, the rest as
     sums per bucket."""
-    frequent = [(bytes(r.word), r.n) for r in counts.orderBy(F.desc("n"), "word").limit(VOCABULARY).collect()]
+    # The vocabulary is what lies above a count, found on some hundreds of
+    # steps of the count's logarithm: no task and no driver sorts words.
+    step = F.floor(F.log2("n") * STEPS)
+    kept, above = 0, None
+    for r in sorted(counts.groupBy(step.alias("s")).count().collect(), reverse=True):
+        kept += r["count"]
+        if kept > VOCABULARY:
+            break
+        above = r.s
+    named = counts.filter(step >= above) if above is not None else counts.limit(0)
+    frequent = sorted(((bytes(r.word), r.n) for r in named.collect()), key=lambda x: (-x[1], x[0]))
     place = F.pmod(F.crc32(F.expr("substring(word, -3)")), F.lit(BUCKETS)).cast("int")
     sums = counts.groupBy(place.alias("b")).agg(F.sum("n").alias("n"), F.count("*").alias("kinds")).collect()
     mass, kinds = np.zeros(BUCKETS), np.zeros(BUCKETS)

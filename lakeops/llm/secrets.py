@@ -78,7 +78,7 @@ def candidates(index: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
 def _spans(rule: Rule, rank: int) -> Column:
     """Sorted spans from a rule's matches and the pieces between them: the
     i-th match starts after the first i pieces and i-1 matches."""
-    m, p, g = f"__m{rank}", f"__p{rank}", f"__g{rank}"
+    m, p, g = f"m{rank}", f"p{rank}", f"g{rank}"
     return F.expr(f"""aggregate(sequence(1, size({m})),
         struct(0 AS pos, cast(array() AS array<struct<start:int,rank:int,end:int>>) AS found),
         (a, i) -> struct(a.pos + length({p}[i - 1]) + length({m}[i - 1]) AS pos,
@@ -90,34 +90,33 @@ def _spans(rule: Rule, rank: int) -> Column:
 
 
 def find_secrets(docs: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
-    """``docs`` with a column ``__spans``: array of (start, rank of the rule,
-    end) in code points, sorted.
+    """``row`` (the columns of ``docs`` as a struct, so that no name can clash)
+    and ``spans``: array of (start, rank of the rule, end) in code points,
+    sorted.
 
     A null text counts as empty and has no spans.  Repeated rows stay
     repeated.  Texts are matched whole.  ``doc_id`` may be null or repeated:
     documents that share one share their candidate rules, which the search
-    itself then settles.  Columns of other names pass through.
+    itself then settles.
     """
-    rows = docs.withColumns({"__id": F.coalesce(F.col("doc_id").cast("string"), F.lit("")), "__text": F.coalesce("text", F.lit(""))})
-    index = postings(rows.select(F.col("__id").alias("id"), F.col("__text").alias("text")), rules)
-    hits = candidates(index, rules).select(F.col("id").alias("__hit"), F.col("kinds").alias("__kinds"))
-    rows = rows.join(hits.hint("shuffle_hash"), rows["__id"] == hits["__hit"], "left")
+    rows = docs.select(F.struct(*docs.columns).alias("row"), F.coalesce(F.col("doc_id").cast("string"), F.lit("")).alias("id"), F.coalesce("text", F.lit("")).alias("text"))
+    hits = candidates(postings(rows.select("id", "text"), rules), rules)
+    rows = rows.join(hits.hint("shuffle_hash"), "id", "left")
     none = F.expr("cast(array() AS array<string>)")
     found: dict[str, Column] = {}
     pieces: dict[str, Column] = {}
     for rank, rule in enumerate(rules):
         pattern = F.lit(rule.pattern)
-        found[f"__m{rank}"] = F.regexp_extract_all("__text", pattern, F.lit(0))
+        found[f"m{rank}"] = F.regexp_extract_all("text", pattern, F.lit(0))
         if trigram_query(rule.pattern) is not None:
-            asked = F.coalesce(F.array_contains("__kinds", rule.kind), F.lit(False))
-            found[f"__m{rank}"] = F.when(asked, found[f"__m{rank}"]).otherwise(none)
-        some = F.size(f"__m{rank}") > 0
-        pieces[f"__p{rank}"] = F.when(some, F.split("__text", pattern, -1)).otherwise(none)
-        pieces[f"__g{rank}"] = F.when(some, F.regexp_extract_all("__text", pattern, F.lit(rule.group))).otherwise(none) if rule.group else F.col(f"__m{rank}")
+            asked = F.coalesce(F.array_contains("kinds", rule.kind), F.lit(False))
+            found[f"m{rank}"] = F.when(asked, found[f"m{rank}"]).otherwise(none)
+        some = F.size(f"m{rank}") > 0
+        pieces[f"p{rank}"] = F.when(some, F.split("text", pattern, -1)).otherwise(none)
+        pieces[f"g{rank}"] = F.when(some, F.regexp_extract_all("text", pattern, F.lit(rule.group))).otherwise(none) if rule.group else F.col(f"m{rank}")
     empty = F.expr("cast(array() AS array<struct<start:int,rank:int,end:int>>)")
-    each = [F.when(F.size(f"__m{rank}") > 0, _spans(rule, rank)).otherwise(empty) for rank, rule in enumerate(rules)]
-    return (rows.withColumns(found).withColumns(pieces).withColumn("__spans", F.array_sort(F.concat(*each)))
-            .select(*docs.columns, "__spans"))
+    each = [F.when(F.size(f"m{rank}") > 0, _spans(rule, rank)).otherwise(empty) for rank, rule in enumerate(rules)]
+    return (rows.withColumns(found).withColumns(pieces).select("row", F.array_sort(F.concat(*each)).alias("spans")))
 
 
 def span_string(spans: Column | str, rules: tuple[Rule, ...] = RULES) -> Column:
@@ -128,11 +127,11 @@ def span_string(spans: Column | str, rules: tuple[Rule, ...] = RULES) -> Column:
 def secret_report(docs: DataFrame) -> DataFrame:
     """Per row: ``doc_id``, counts of the base rules, a digest of their spans
     and all spans as text; see ``find_secrets`` for odd input."""
-    base = F.filter("__spans", lambda s: s["rank"] < len(BASE))
-    count = lambda n: F.size(F.filter("__spans", lambda s: s["rank"] == n)).cast("long")
+    base = F.filter("spans", lambda s: s["rank"] < len(BASE))
+    count = lambda n: F.size(F.filter("spans", lambda s: s["rank"] == n)).cast("long")
     return find_secrets(docs.select("doc_id", "text")).select(
-        "doc_id", *[count(n).alias(f"n_{r.kind}") for n, r in enumerate(BASE)],
-        F.sha2(span_string(base), 256).alias("base_sha256"), span_string("__spans").alias("spans"))
+        F.col("row.doc_id").alias("doc_id"), *[count(n).alias(f"n_{r.kind}") for n, r in enumerate(BASE)],
+        F.sha2(span_string(base), 256).alias("base_sha256"), span_string("spans").alias("spans"))
 
 
 def redact(docs: DataFrame, mark: str = "[SECRET]") -> DataFrame:
@@ -140,20 +139,20 @@ def redact(docs: DataFrame, mark: str = "[SECRET]") -> DataFrame:
     by one) and ``n_chars``, where there is one, set to the new length of
     changed texts.  Rows without spans stay as they are."""
     rows = find_secrets(docs)
-    merged = F.expr("""aggregate(__spans, cast(array() AS array<struct<start:int,end:int>>), (a, s) ->
+    merged = F.expr("""aggregate(spans, cast(array() AS array<struct<start:int,end:int>>), (a, s) ->
         if(size(a) > 0 AND s.start <= element_at(a, -1).end,
            array_append(slice(a, 1, size(a) - 1), named_struct('start', element_at(a, -1).start, 'end', greatest(element_at(a, -1).end, s.end))),
            array_append(a, named_struct('start', s.start, 'end', s.end))))""")
-    rows = rows.withColumn("__cuts", F.when(F.size("__spans") > 0, merged))
-    clean = F.expr("""concat_ws('', aggregate(__cuts, struct(1 AS at, cast(array() AS array<string>) AS parts),
-        (a, c) -> struct(c.end + 1 AS at, concat(a.parts, array(substring(text, a.at, c.start + 1 - a.at), __mark)) AS parts),
-        a -> array_append(a.parts, substring(text, a.at))))""")
-    rows = rows.withColumn("__mark", F.lit(mark)).withColumn("__clean", F.when(F.col("__cuts").isNotNull(), clean))
-    out = {"text": F.coalesce("__clean", "text")}
+    rows = rows.withColumn("cuts", F.when(F.size("spans") > 0, merged)).withColumn("mark", F.lit(mark))
+    clean = F.expr("""concat_ws('', aggregate(cuts, struct(1 AS at, cast(array() AS array<string>) AS parts),
+        (a, c) -> struct(c.end + 1 AS at, concat(a.parts, array(substring(row.text, a.at, c.start + 1 - a.at), mark)) AS parts),
+        a -> array_append(a.parts, substring(row.text, a.at))))""")
+    rows = rows.withColumn("clean", F.when(F.col("cuts").isNotNull(), clean))
+    out = {"text": F.coalesce("clean", "row.text")}
     if "n_chars" in docs.columns:
         kind = docs.schema["n_chars"].dataType
-        out["n_chars"] = F.when(F.col("__clean").isNotNull(), F.length("__clean").cast(kind)).otherwise(F.col("n_chars"))
-    return rows.select(*[out[c].alias(c) if c in out else F.col(c) for c in docs.columns])
+        out["n_chars"] = F.when(F.col("clean").isNotNull(), F.length("clean").cast(kind)).otherwise(F.col("row.n_chars"))
+    return rows.select(*[out.get(c, F.col("row")[c]).alias(c) for c in docs.columns])
 
 
 def oracle_sql() -> str:

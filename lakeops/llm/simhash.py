@@ -138,9 +138,9 @@ def keep_one(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
 
     groups = near_duplicates(docs, shingle)
     stay = stage_table(groups.filter("first_id <=> doc_id and first_hash = text_hash")
-                       .select(F.coalesce("first_id", F.lit(-1)).alias("__id"), F.col("first_id").isNull().alias("__none"), F.col("first_hash").alias("__hash")).distinct(), "simhash-stay")
-    rows = docs.withColumns({"__id": F.coalesce(F.col("doc_id").cast("long"), F.lit(-1)), "__none": F.col("doc_id").isNull(),
-                             "__hash": F.xxhash64(F.coalesce(F.col("text"), F.lit("")).cast("binary"))})
-    kept = rows.join(stay, ["__id", "__none", "__hash"], "left_semi")
-    one = F.row_number().over(Window.partitionBy("__id", "__none", "__hash").orderBy("__hash"))
-    return kept.withColumn("__one", one).filter("__one = 1").select(*docs.columns)
+                       .select(F.coalesce("first_id", F.lit(-1)).alias("id"), F.col("first_id").isNull().alias("none"), F.col("first_hash").alias("hash")).distinct(), "simhash-stay")
+    rows = docs.select(F.struct(*docs.columns).alias("row"), F.coalesce(F.col("doc_id").cast("long"), F.lit(-1)).alias("id"),
+                       F.col("doc_id").isNull().alias("none"), F.xxhash64(F.coalesce("text", F.lit("")).cast("binary")).alias("hash"))
+    kept = rows.join(stay, ["id", "none", "hash"], "left_semi")
+    one = F.row_number().over(Window.partitionBy("id", "none", "hash").orderBy("hash"))
+    return kept.withColumn("one", one).filter("one = 1").select("row.*")
