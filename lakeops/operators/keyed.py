@@ -50,13 +50,16 @@ def check_unique(df: DataFrame, key: str | list[str]) -> bool:
 def dedupe_batch(batch: DataFrame, key: str, dedupe: str = "error") -> DataFrame:
     """Policy for a key repeated inside one batch.
 
-    ``error`` (default) raises, ``first`` keeps one row per key (an arbitrary
-    one), ``none`` keeps all rows as the original loader did.
+    ``error`` (default) raises, ``first`` keeps one row per key (the smallest
+    of its rows, so a run again keeps the same), ``none`` keeps all rows as the
+    original loader did.
     """
     if dedupe == "none":
         return batch
     if dedupe == "first":
-        return batch.dropDuplicates([key])
+        rest = [c for c in batch.columns if c != key]
+        one = batch.groupBy(key).agg(F.min(F.struct(*rest)).alias("_row")) if rest else batch.distinct()
+        return one.select(*[F.col(key) if c == key else F.col("_row")[c].alias(c) for c in batch.columns])
     if dedupe == "error":
         if not check_unique(batch, key):
             raise ValueError(f"batch has repeated values of key {key!r}")
@@ -66,8 +69,9 @@ def dedupe_batch(batch: DataFrame, key: str, dedupe: str = "error") -> DataFrame
 
 def new_key_rows(batch: DataFrame, stored: DataFrame, key: str,
                  dedupe: str = "none") -> DataFrame:
-    """Batch rows whose key is not stored yet (K1, lazy)."""
-    return anti_join(dedupe_batch(batch, key, dedupe), stored, key)
+    """Batch rows whose key is not stored yet (K1, lazy).  A NULL key is a key
+    like any other: once stored, it is not added again."""
+    return anti_join(dedupe_batch(batch, key, dedupe), stored, key, null_safe=True)
 
 
 def insert_new_keys(batch: DataFrame, stored: DataFrame, key: str,
@@ -86,7 +90,7 @@ def insert_new_keys_report(batch: DataFrame, stored: DataFrame, key: str) -> Dat
     """
     hits = stored.select(F.col(key).alias(_K)).dropDuplicates([_K]).withColumn("_hit", F.lit(1))
     b = batch.select(key)
-    j = b.join(hits, b[key] == hits[_K], "left")
+    j = b.join(hits, b[key].eqNullSafe(hits[_K]), "left")
     return j.agg(F.count(F.lit(1)).alias("n_batch"),
                  F.count("_hit").alias("n_skipped"),
                  F.count_if(F.col("_hit").isNull()).alias("n_added"))

@@ -16,6 +16,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from lakeops.functions.predicates import nan_to_null
 from lakeops.functions.time import now_stamp
 
 #: Fixed values of the original decision rule.
@@ -101,9 +102,9 @@ def single_price_groups(df: DataFrame, group_cols: Sequence[str], target: str,
     row, unless the registry already has the group (M14, A4).
 
     ``n_distinct <= 1`` is tested as ``min = max`` (or no values), three
-    partial aggregates instead of a distinct count.
+    partial aggregates instead of a distinct count.  NaN counts as missing.
     """
-    t = F.col(target)
+    t = nan_to_null(F.col(target))
     g = df.groupBy(*group_cols).agg(F.min(t).alias("_mn"), F.max(t).alias("_mx"))
     single = g.filter(F.col("_mn").isNull() | (F.col("_mn") == F.col("_mx")))
     if registry is not None:
@@ -116,7 +117,7 @@ def single_price_groups(df: DataFrame, group_cols: Sequence[str], target: str,
 
 def multi_price_groups(df: DataFrame, group_cols: Sequence[str], target: str) -> DataFrame:
     """Groups with two or more distinct target values (these get a model)."""
-    t = F.col(target)
+    t = nan_to_null(F.col(target))
     g = df.groupBy(*group_cols).agg(F.min(t).alias("_mn"), F.max(t).alias("_mx"),
                                     F.count(F.lit(1)).alias("n_rows"))
     return g.filter(F.col("_mn") < F.col("_mx")).select(*group_cols, "n_rows")

@@ -103,6 +103,19 @@ def q_insert_new_keys(spark, sf):
     return spark.read.parquet(path)
 
 
+_SQL_NULL_KEYS = "SELECT CASE WHEN o_orderkey % 5 <> 0 THEN o_orderkey END AS k, o_custkey AS c FROM orders"
+
+
+@query("insert_null_keys_report", f"""
+WITH b AS ({_SQL_NULL_KEYS} ), s AS (SELECT k FROM ({_SQL_NULL_KEYS}) WHERE c % 2 = 0),
+f AS (SELECT EXISTS (SELECT 1 FROM s WHERE s.k IS NOT DISTINCT FROM b.k) AS hit FROM b)
+SELECT count(*) AS n_batch, count(*) FILTER (WHERE hit) AS n_skipped, count(*) FILTER (WHERE NOT hit) AS n_added FROM f""")
+def q_insert_null_keys(spark, sf):
+    """A NULL key that is stored is not added again."""
+    batch = R.tables(spark, sf).orders.select(F.when(F.col("o_orderkey") % 5 != 0, F.col("o_orderkey")).alias("k"), F.col("o_custkey").alias("c"))
+    return keyed.insert_new_keys_report(batch, batch.filter("c % 2 = 0"), "k")
+
+
 @query("insert_new_keys_report", f"""
 SELECT count(*) AS n_batch,
        count(*) FILTER (WHERE b.o_orderkey IN (SELECT o_orderkey FROM {SQL_STORED} s)) AS n_skipped,

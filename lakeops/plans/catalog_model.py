@@ -231,6 +231,7 @@ def q_describe(spark, sf):
 SELECT measure, service, round(avg((y - pred) ^ 2), 6) AS mse,
        round(avg(abs(y - pred) / CASE WHEN y <> 0 THEN y END), 6) AS mape,
        round(1 - sum((y - pred) ^ 2) / (var_pop(y) * count(y)), 6) AS r2,
+       count(*) FILTER (WHERE y = 0) AS n_zero_y,
        {_sql_describe('rel_err', '_rel_err')}, {_sql_describe('rel_err_abs', '_rel_err_abs')}
 FROM {_SQL_ERRS} e GROUP BY measure, service""")
 def q_metrics_by_group(spark, sf):
@@ -326,6 +327,33 @@ def q_single_price(spark, sf):
     return G.single_price_groups(d, ["measure", "service"], "y", stored, as_of=R.AS_OF)
 
 
+@query("single_price_groups_nan", f"""
+WITH s AS (SELECT CAST(o_custkey AS VARCHAR) AS measure, o_orderpriority AS service,
+                  CASE WHEN o_orderkey % 3 <> 0 THEN CAST(floor(o_totalprice / 100000) AS DOUBLE) END AS y FROM orders),
+g AS (SELECT measure, service, min(y) AS mn, max(y) AS mx FROM s GROUP BY measure, service)
+SELECT measure, service, 'no_model' AS model_run_id, mn AS value, 100.0::DOUBLE AS mape, 0 AS flag,
+       {SQL_AS_OF} AS date
+FROM g WHERE mn IS NULL OR mn = mx""")
+def q_single_price_nan(spark, sf):
+    """Targets that are NaN (here for a third of the orders) count as missing."""
+    y = F.when(F.col("o_orderkey") % 3 == 0, F.lit(float("nan"))).otherwise(F.floor(F.col("o_totalprice") / 100000).cast("double"))
+    d = R.tables(spark, sf).orders.select(F.col("o_custkey").cast("string").alias("measure"), F.col("o_orderpriority").alias("service"), y.alias("y"))
+    return G.single_price_groups(d, ["measure", "service"], "y", as_of=R.AS_OF)
+
+
+@query("yeo_johnson_fit_offset", """
+WITH g AS (SELECT l_returnflag AS measure, l_linestatus AS service, count(*) AS n,
+                  avg(l_orderkey + 1e9::DOUBLE) AS mean, stddev_pop(l_orderkey) AS std
+           FROM lineitem GROUP BY l_returnflag, l_linestatus)
+SELECT measure, service, 'x' AS column_name, n, 1.0::DOUBLE AS lmbda, round(mean, 1) AS mean, round(std, 1) AS std FROM g""")
+def q_yj_offset(spark, sf):
+    """A column far from 0 keeps its spread (lambda 1: the identity)."""
+    d = R.tables(spark, sf).lineitem.select(F.col("l_returnflag").alias("measure"), F.col("l_linestatus").alias("service"),
+                                            (F.col("l_orderkey") + F.lit(1e9)).alias("x"))
+    fit = T.yeo_johnson_fit(d, ["measure", "service"], ["x"], grid=(1.0,))
+    return rounded(fit.select("measure", "service", "column_name", "n", "lmbda", "mean", "std"), ["mean", "std"], 1)
+
+
 @query("qcut_bin_counts", f"""
 SELECT measure, min(cnt) AS min_bin_count, count(*) AS n_bins FROM (
   SELECT measure, bin, count(*) AS cnt FROM ({_sql_bin(20, _SQL_QCUT_SRC, ['measure'], 'o_orderkey')}) b

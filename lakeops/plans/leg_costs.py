@@ -76,6 +76,9 @@ def run_leg_costs(spark: SparkSession, lc: DataFrame, registry: DataFrame,
     # the joins behind ``lc``, and ``row_id`` is fixed from here on.
     lc = lc.withColumn("row_id", F.monotonically_increasing_id()).checkpoint()
     protect = protect + ["row_id"]
+    declared = P.schema_check(lc, cfg.categorical, [], cfg.target)
+    if declared.missing:
+        raise ValueError(f"input lacks declared columns {sorted(declared.missing)}")
     lc = P.drop_constant_columns(lc, protect=protect)
     roles = P.columns_by_type(lc, cfg.categorical, cfg.target,
                               exclude=[cfg.id_col, "row_id", *g, *cfg.exclude])

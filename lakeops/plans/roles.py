@@ -14,8 +14,6 @@ from pyspark.sql import functions as F
 
 from lakeops.operators import legs as L
 from lakeops.plans.orders import OrderCols, customer_summary as _summary
-from lakeops.session import spread
-from lakeops.sources.files import load_tables
 
 #: Fixed values that define the roles (see FIXTURES.md section C).
 SUMMARY_CUTOFF = "1998-04-25 00:00:00"     # median o_orderdate at sf0.01
@@ -24,23 +22,22 @@ ORDER_COLS = OrderCols(order_id="o_orderkey", customer_id="o_custkey", order_dat
                        amount="o_totalprice", customer_key="c_custkey", customer_name="c_name")
 
 
-class Tables(dict):
-    """Lazy scans of the test tables, by name."""
+class Tables:
+    """Scans of the test tables, opened when first named."""
 
-    def __getattr__(self, k):
-        return self[k]
+    def __init__(self, spark: SparkSession, sf_dir: str):
+        self._spark, self._dir = spark, sf_dir
 
-
-#: Fact tables of the test star; spread over the cores when a scan of them
-#: is narrower than the default parallelism (see ``lakeops.session.spread``).
-FACT_TABLES = ("lineitem", "orders", "events")
+    def __getattr__(self, name: str) -> DataFrame:
+        if name.startswith("_"):
+            raise AttributeError(name)
+        table = self._spark.read.parquet(f"{self._dir}/{name}.parquet")
+        setattr(self, name, table)
+        return table
 
 
 def tables(spark: SparkSession, sf_dir: str) -> Tables:
-    t = Tables(load_tables(spark, sf_dir))
-    for name in FACT_TABLES:
-        t[name] = spread(t[name])
-    return t
+    return Tables(spark, sf_dir)
 
 
 # ---------------------------------------------------------------- orders ETL roles

@@ -1,14 +1,13 @@
 """Session and scratch-location helpers.
 
-Jobs never pick a machine-local folder on their own: staged writes and
+Jobs never pick a machine-local folder on a cluster: staged writes and
 lineage cuts go to the shared folder the cluster names in
-``spark.checkpoint.dir``.  Only when that setting is absent (a laptop or
-a test) do we create one, under the system temp folder.
+``spark.checkpoint.dir``.  Only where that setting is absent in a local
+run (a laptop or a test) is one made, under the system temp folder.
 """
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
@@ -46,12 +45,16 @@ def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder for checkpoints and staged tables.
 
     Read from the session (``spark.checkpoint.dir`` or the context's
-    checkpoint dir).  If neither is set, set one under the temp folder:
-    that branch is for local runs and tests only.
+    checkpoint dir).  If neither is set, a local run gets one under the temp
+    folder; on a cluster that is an error, as executors would write to their
+    own disks.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
         root = spark.sparkContext.getCheckpointDir()
+    master = spark.sparkContext.master
+    if not root and (not master.startswith("local") or master.startswith("local-cluster")):
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
     if not root:
         root = tempfile.mkdtemp(prefix="lakeops-ckpt-")
         spark.sparkContext.setCheckpointDir(root)
@@ -65,31 +68,3 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique path below the shared checkpoint folder."""
     root = checkpoint_root(spark)
     return f"{root}/lakeops/{name}-{uuid.uuid4().hex[:12]}"
-
-
-def local_path(path: str) -> str:
-    """Strip a ``file:`` scheme (for the few local-only helpers in tests)."""
-    return path[5:] if path.startswith("file:") else path
-
-
-def env_int(name: str, default: int) -> int:
-    try:
-        return int(os.environ.get(name, default))
-    except ValueError:
-        return default
-
-
-def spread(df, min_partitions: int | None = None):
-    """Round-robin repartition a scan that yields fewer partitions than the
-    cluster's default parallelism; otherwise return it unchanged.
-
-    A table stored as one file with one row group is read by a single task,
-    and every operator before the first shuffle (broadcast joins, per-row
-    math, partial aggregation) then runs on one core.  On a large table
-    with many splits this is a no-op.  Column pruning and filter pushdown
-    still reach the scan below the repartition.
-    """
-    want = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= want:
-        return df
-    return df.repartition(want)

@@ -126,5 +126,5 @@ def test_split_exact_share_with_large_colliding_keys(spark):
     df = spark.createDataFrame([(i * m + 5, "g") for i in range(1, 51)], "id long, g string")
     out = B.random_split(df, ["g"], "id").collect()
     assert sum(r.is_test for r in out) == 10
-    b = B.random_split(df, ["g"], "id", strategy="distributed").collect()
+    b = B.random_split(df, ["g"], "id").collect()
     assert sorted((r.id, r.is_test) for r in out) == sorted((r.id, r.is_test) for r in b)
