@@ -366,8 +366,10 @@ def training_rows(pages: list[str], seed: int = 11, variants: int = 4) -> tuple[
 
 
 def train(pages: DataFrame, sample: int = SAMPLE) -> Boosted:
-    rows = (pages.select("page_id", "html").filter("html IS NOT NULL AND length(html) < 200000")
-            .orderBy(F.xxhash64("page_id"), "page_id").limit(sample).select("html").collect())
+    # Only ids compete for the sample: a task sends at most ``sample`` of them.
+    usable = pages.select("page_id", "html").filter("page_id IS NOT NULL AND length(html) < 200000")
+    chosen = [r.page_id for r in usable.select("page_id").orderBy(F.xxhash64("page_id"), "page_id").limit(sample).collect()]
+    rows = usable.filter(F.col("page_id").isin(chosen)).orderBy(F.xxhash64("page_id"), F.xxhash64("html")).limit(sample).select("html").collect()
     x, y = training_rows([r.html for r in rows])
     return fit(x, y, np.ones(len(y)))
 
