@@ -25,8 +25,10 @@ ORDER_COLS = OrderCols(order_id="o_orderkey", customer_id="o_custkey", order_dat
 class Tables:
     """Scans of the test tables, opened when first named."""
 
-    def __init__(self, spark: SparkSession, sf_dir: str):
+    def __init__(self, spark: SparkSession | None = None, sf_dir: str = "", **given: DataFrame):
         self._spark, self._dir = spark, sf_dir
+        for name, table in given.items():
+            setattr(self, name, table)
 
     def __getattr__(self, name: str) -> DataFrame:
         if name.startswith("_"):
