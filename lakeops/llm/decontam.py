@@ -19,6 +19,7 @@ from __future__ import annotations
 import hashlib
 from collections import Counter, defaultdict
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -134,21 +135,22 @@ def covered(spans: list[tuple[int, int]]) -> int:
     return total
 
 
-def _blocks(docs: DataFrame, benchmark: DataFrame, size: int) -> list[Table]:
-    """Prefix tables of the benchmark's blocks; only one block's windows are
-    on the driver at a time while it is made."""
+def _blocks(docs: DataFrame, benchmark: DataFrame, size: int) -> tuple[int, Iterator[Table]]:
+    """The number of blocks and their prefix tables, each made when asked for:
+    the driver holds one block's windows at a time."""
     found = stage_table(windows(benchmark), "decontam-windows")
     n = -(-max(found.count(), 1) // size)
-    tables = []
-    for k in range(n):
+
+    def block(k: int) -> Table:
         part = found.filter(F.pmod(F.xxhash64("window"), F.lit(n)) == k)
         rows = [(bytes(r.window), r.items) for r in part.toLocalIterator()]
         every: Table = defaultdict(dict)
         for window, _ in rows:
             for s in shingles_of(window.split(b" ")):
                 every[s.count(b" ") + 1][s] = True
-        tables.append(prefix_table(rows, document_frequency(docs, dict(every))))
-    return tables
+        return prefix_table(rows, document_frequency(docs, dict(every)))
+
+    return n, map(block, range(n))
 
 
 def _verdict(n_words: int, n_hit: int) -> bool:
@@ -164,7 +166,7 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, block_windows: int = BL
     and items that share an id are one.  Repeated rows stay repeated; either
     table may be empty; other columns are left aside.
     """
-    tables = _blocks(docs, benchmark, block_windows)
+    n_blocks, tables = _blocks(docs, benchmark, block_windows)
     kind = docs.schema["doc_id"].dataType.simpleString()
     rows = doc_bytes(docs).withColumn("text_hash", F.xxhash64("text"))
     ddl = f"doc_id {kind}, text_hash long, n_words long, starts array<long>, ends array<long>, items array<string>"
@@ -186,12 +188,12 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, block_windows: int = BL
 
         return rows.mapInArrow(run, ddl)
 
-    found = hits(tables[0], everyone=True)
-    if len(tables) > 1:
-        merged = [found.withColumn("n_rows", F.lit(1))] + [hits(t, everyone=False).withColumn("n_rows", F.lit(0)) for t in tables[1:]]
-        for more in merged[1:]:
-            merged[0] = merged[0].unionByName(more)
-        found = (merged[0].groupBy("doc_id", "text_hash")
+    if n_blocks == 1:
+        found = hits(next(tables), everyone=True)
+    else:
+        parts = [stage_table(hits(t, everyone=k == 0), f"decontam-hits-{k}").withColumn("n_rows", F.lit(int(k == 0)))
+                 for k, t in enumerate(tables)]
+        found = (reduce(DataFrame.unionByName, parts).groupBy("doc_id", "text_hash")
                  .agg(F.max("n_words").alias("n_words"), F.sum("n_rows").alias("n_rows"),
                       *[F.flatten(F.collect_set(c)).alias(c) for c in ("items",)],
                       F.flatten(F.collect_set(F.arrays_zip("starts", "ends"))).alias("spans"))
@@ -216,9 +218,9 @@ def keep_clean(docs: DataFrame, benchmark: DataFrame, block_windows: int = BLOCK
     """The rows of ``docs`` that are not contaminated, all columns as they
     are.  With one block of windows the rows are judged where they lie; with
     more, the judged rows are taken out by an anti-join."""
-    tables = _blocks(docs, benchmark, block_windows)
-    if len(tables) == 1:
-        sent, at = docs.sparkSession.sparkContext.broadcast(tables[0]), docs.columns.index("text")
+    n_blocks, tables = _blocks(docs, benchmark, block_windows)
+    if n_blocks == 1:
+        sent, at = docs.sparkSession.sparkContext.broadcast(next(tables)), docs.columns.index("text")
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             known = sent.value
