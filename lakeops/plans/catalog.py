@@ -44,10 +44,14 @@ def rounded(df: DataFrame, cols, digits: int) -> DataFrame:
 
 # =============================================================== SQL role snippets
 
-SQL_BATCH = "(SELECT * FROM orders WHERE o_orderkey % 3 <> 0)"
-SQL_STORED = "(SELECT * FROM orders WHERE o_orderkey % 2 = 0)"
-SQL_KNOWN = "(SELECT * FROM customer WHERE c_custkey % 5 <> 0)"
-SQL_PRODUCTS = "(SELECT p_partkey, p_retailprice FROM part WHERE p_partkey % 4 <> 0)"
+def _sql_moved(table: str, key: str, rows: str) -> str:
+    return f"(SELECT * REPLACE (CASE WHEN {rows} THEN -1 - {key} ELSE {key} END AS {key}) FROM {table})"
+
+
+SQL_BATCH = _sql_moved("orders", "o_orderkey", "o_orderkey % 3 = 0")
+SQL_STORED = _sql_moved("orders", "o_orderkey", "o_orderkey % 2 <> 0")
+SQL_KNOWN = _sql_moved("customer", "c_custkey", "c_custkey % 5 = 0")
+SQL_PRODUCTS = _sql_moved("part", "p_partkey", "p_partkey % 4 = 0")
 SQL_CUTOFF = f"TIMESTAMP '{R.SUMMARY_CUTOFF}'"
 SQL_AS_OF = f"TIMESTAMP '{R.AS_OF}'"
 
@@ -107,13 +111,13 @@ _SQL_NULL_KEYS = "SELECT CASE WHEN o_orderkey % 5 <> 0 THEN o_orderkey END AS k,
 
 
 @query("insert_null_keys_report", f"""
-WITH b AS ({_SQL_NULL_KEYS} ), s AS (SELECT k FROM ({_SQL_NULL_KEYS}) WHERE c % 2 = 0),
+WITH b AS ({_SQL_NULL_KEYS} ), s AS (SELECT CASE WHEN c % 2 <> 0 THEN -1 - k ELSE k END AS k FROM ({_SQL_NULL_KEYS})),
 f AS (SELECT EXISTS (SELECT 1 FROM s WHERE s.k IS NOT DISTINCT FROM b.k) AS hit FROM b)
 SELECT count(*) AS n_batch, count(*) FILTER (WHERE hit) AS n_skipped, count(*) FILTER (WHERE NOT hit) AS n_added FROM f""")
 def q_insert_null_keys(spark, sf):
     """A NULL key that is stored is not added again."""
     batch = R.tables(spark, sf).orders.select(F.when(F.col("o_orderkey") % 5 != 0, F.col("o_orderkey")).alias("k"), F.col("o_custkey").alias("c"))
-    return keyed.insert_new_keys_report(batch, batch.filter("c % 2 = 0"), "k")
+    return keyed.insert_new_keys_report(batch, R.moved(batch, "k", F.col("c") % 2 != 0), "k")
 
 
 @query("insert_new_keys_report", f"""
@@ -176,9 +180,9 @@ def q_upsert_report(spark, sf):
 
 # =============================================================== sources / sinks
 
-@query("table_scan", "SELECT * FROM nation")
+@query("table_scan", "SELECT * FROM lineitem")
 def q_table_scan(spark, sf):
-    return S.read_table(spark, sf, "nation")
+    return S.read_table(spark, sf, "lineitem")
 
 
 @query("key_scan", "SELECT o_orderkey FROM orders")
@@ -369,8 +373,9 @@ WHERE ts.o_orderkey > {min_ts_id}
 
 
 def _sql_cargo(default: bool) -> str:
-    ef = "(SELECT p_partkey AS ef_id, p_size AS ef_rt_id, p_brand AS ef_code_fk_gng_freights FROM part WHERE p_partkey % 2 = 0)"
-    dpf = "(SELECT s_suppkey AS dpf_rt_id_fk_etsng_freights FROM supplier WHERE s_suppkey < 20)"
+    ef = "(SELECT p_partkey AS ef_id, p_size AS ef_rt_id, p_brand AS ef_code_fk_gng_freights FROM {} p)".format(
+        _sql_moved("part", "p_partkey", "p_partkey % 2 <> 0"))
+    dpf = "(SELECT s_suppkey * 3 AS dpf_rt_id_fk_etsng_freights FROM supplier)"
     if default:
         return f"""(SELECT l.l_quantity AS cgt_weight, l.l_linenumber AS cgt_fk_cont_type,
        l.l_linenumber AS cgt_quantity_cont, l.l_tax AS cgt_quantity_wag,
@@ -413,8 +418,9 @@ def q_cargo_default(spark, sf):
 
 
 def _sql_result(default: bool = False) -> str:
-    return f"""SELECT s.*, c.cgt_weight, c.cgt_quantity_cont, c.cgt_quantity_wag,
-       c.ef_code_fk_gng_freights, c.cargo_guarded
+    zero = {"ef_code_fk_gng_freights": "''"}
+    cargo = ", ".join(f"coalesce(c.{x}, {zero.get(x, 0)}) AS {x}" if default else f"c.{x}" for x in L.CARGO_RESULT_COLS)
+    return f"""SELECT s.*, {cargo}
 FROM {_sql_star()} s LEFT JOIN {_sql_cargo(default)} c ON s.ts_id = c.cgt_fk_transport_solution
 WHERE s.ce_cost >= 0 AND NOT isnan(s.ce_cost)"""
 
@@ -425,6 +431,14 @@ def q_result(spark, sf):
     return L.legs_costs_result(R.legs_star(t), R.cargo(t, "null"))
 
 
+@query("legs_costs_result_default", _sql_result(default=True))
+def q_result_default(spark, sf):
+    """The result table under the column store's fill: unmatched cargo columns
+    hold 0 or the empty string."""
+    t = R.tables(spark, sf)
+    return L.legs_costs_result(R.legs_star(t), R.cargo(t, "default"), null_fill="default")
+
+
 @query("ctas_legs_costs_result", _sql_result())
 def q_ctas(spark, sf):
     """K3 + O3: create-table-as-select after drop; no sort key (``order by tuple()``)."""

@@ -261,9 +261,9 @@ def q_hist(spark, sf):
 _SQL_REG = """(SELECT event_type AS measure, CAST(user_id % 10 AS VARCHAR) AS service,
         CAST(event_id AS VARCHAR) AS model_run_id, -100.0::DOUBLE AS value, value AS mape,
         1 AS flag, ts AS date FROM events)"""
-_SQL_REG_STORED = """(SELECT event_type AS measure, CAST(user_id % 10 AS VARCHAR) AS service,
+_SQL_REG_STORED = """(SELECT event_type AS measure, CASE WHEN user_id % 10 < 8 THEN '' ELSE 'old' END || CAST(user_id % 10 AS VARCHAR) AS service,
         CAST(event_id AS VARCHAR) AS model_run_id, -100.0::DOUBLE AS value, value AS mape,
-        1 AS flag, ts AS date FROM events WHERE event_id % 2 = 1 AND user_id % 10 < 8)"""
+        1 AS flag, ts AS date FROM events WHERE event_id % 2 = 1)"""
 _SQL_NEW_SCORES = """(SELECT measure, service, min(value) AS mape,
         concat_ws('_', measure, service, 'gbt') AS model_run_id
  FROM (SELECT event_type AS measure, CAST(user_id % 10 AS VARCHAR) AS service, value

@@ -44,20 +44,26 @@ def tables(spark: SparkSession, sf_dir: str) -> Tables:
 
 # ---------------------------------------------------------------- orders ETL roles
 
+def moved(df: DataFrame, key: str, rows) -> DataFrame:
+    """All of ``df``; the keys of these rows leave the key range (k to -1 - k),
+    so that they match nothing on the other side."""
+    return df.withColumn(key, F.when(rows, F.lit(-1) - F.col(key)).otherwise(F.col(key)))
+
+
 def orders_batch(t) -> DataFrame:
-    return t.orders.filter(F.col("o_orderkey") % 3 != 0)
+    return moved(t.orders, "o_orderkey", F.col("o_orderkey") % 3 == 0)
 
 
 def orders_stored(t) -> DataFrame:
-    return t.orders.filter(F.col("o_orderkey") % 2 == 0)
+    return moved(t.orders, "o_orderkey", F.col("o_orderkey") % 2 != 0)
 
 
 def known_customers(t) -> DataFrame:
-    return t.customer.filter(F.col("c_custkey") % 5 != 0)
+    return moved(t.customer, "c_custkey", F.col("c_custkey") % 5 == 0)
 
 
 def products(t) -> DataFrame:
-    return t.part.filter(F.col("p_partkey") % 4 != 0).select("p_partkey", "p_retailprice")
+    return moved(t.part, "p_partkey", F.col("p_partkey") % 4 == 0).select("p_partkey", "p_retailprice")
 
 
 def summary_old(t) -> DataFrame:
@@ -124,19 +130,19 @@ def legs_star(t, min_ts_id: int = L.MIN_SOLUTION_ID) -> DataFrame:
 
 
 def cargo_tables(t) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """cargo_types (lineitem), etsng_freights (even parts), dopog_freights
-    (suppliers below 20, keyed by a value compared with the part size)."""
+    """cargo_types (lineitem), etsng_freights (parts, the odd ones under keys
+    that no cargo has), dopog_freights (suppliers; three times the key is
+    compared with the part size)."""
     cgt = t.lineitem.select(F.col("l_quantity").alias("weight"),
                             F.col("l_linenumber").alias("fk_cont_type"),
                             F.col("l_linenumber").alias("quantity_cont"),
                             F.col("l_tax").alias("quantity_wag"),
                             F.col("l_orderkey").alias("fk_transport_solution"),
                             F.col("l_partkey").alias("fk_etsng_freights"))
-    ef = t.part.filter(F.col("p_partkey") % 2 == 0).select(
+    ef = moved(t.part, "p_partkey", F.col("p_partkey") % 2 != 0).select(
         F.col("p_partkey").alias("id"), F.col("p_size").alias("rt_id"),
         F.col("p_brand").alias("code_fk_gng_freights"))
-    dpf = t.supplier.filter(F.col("s_suppkey") < 20).select(
-        F.col("s_suppkey").alias("rt_id_fk_etsng_freights"))
+    dpf = t.supplier.select((F.col("s_suppkey") * 3).alias("rt_id_fk_etsng_freights"))
     return cgt, ef, dpf
 
 
@@ -173,9 +179,12 @@ def registry(t) -> DataFrame:
 
 
 def registry_stored(t) -> DataFrame:
-    """Stored registry for the challenger test: odd events of services 0..7."""
-    e = t.events.filter((F.col("event_id") % 2 == 1) & (F.col("user_id") % 10 < 8))
-    return registry(type(t)(t, events=e))
+    """Stored registry for the challenger test: the odd events (the even ones
+    are the new scores), those of services 8 and 9 under names of their own."""
+    user = F.col("user_id") % 10
+    e = t.events.filter(F.col("event_id") % 2 == 1)
+    return registry(Tables(events=e.withColumn("user_id", user))).withColumn(
+        "service", F.when(F.col("service") < "8", F.col("service")).otherwise(F.concat(F.lit("old"), F.col("service"))))
 
 
 def new_scores(t) -> DataFrame:
