@@ -101,7 +101,9 @@ def find_secrets(docs: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
     """
     rows = docs.select(F.struct(*docs.columns).alias("row"), F.coalesce(F.col("doc_id").cast("string"), F.lit("")).alias("id"), F.coalesce("text", F.lit("")).alias("text"))
     hits = candidates(postings(rows.select("id", "text"), rules), rules)
-    rows = rows.join(hits.hint("shuffle_hash"), "id", "left")
+    # The text crosses the shuffle once, inside ``row``.
+    rows = (rows.select("row", "id").join(hits.hint("shuffle_hash"), "id", "left")
+            .withColumn("text", F.coalesce(F.col("row")["text"], F.lit(""))))
     none = F.expr("cast(array() AS array<string>)")
     found: dict[str, Column] = {}
     pieces: dict[str, Column] = {}
