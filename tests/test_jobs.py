@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from lakeops.plans.leg_costs import LegCostConfig, run_leg_costs
+from lakeops.plans.leg_costs import LegCostConfig, persist, run_leg_costs
 from lakeops.plans.orders import OrderCols, run_orders_etl
 from lakeops.sinks import writers as W
 
@@ -69,3 +69,35 @@ def test_leg_costs_job(spark):
     assert dec[("m2", "s1")].flag == 1 and dec[("m1", "s2")].model_run_id == "no_model"
     errs = out["errors"]
     assert errs.count() == out["fit"].predictions.count() and "ts_id" in errs.columns
+
+
+def test_leg_costs_persisted(spark, tmp_path):
+    """What a run writes can be read back, and a second run with the same
+    scores adds no registry row; the split does not depend on partitioning."""
+    d = str(tmp_path)
+    lc = spark.range(600).select(F.col("id").alias("ts_id"), F.lit("m").alias("measure"),
+                                 F.when(F.col("id") % 2 == 0, "s1").otherwise("s2").alias("service"),
+                                 (F.col("id") % 17).cast("double").alias("dist"),
+                                 F.when(F.col("id") % 2 == 0, 5.0).otherwise(100.0 + F.col("id") % 17).alias("cost"))
+    cfg = LegCostConfig(measure="measure", service="service", target="cost", id_col="ts_id", categorical=(),
+                        n_trees=3, depth=2, parallelism=1)
+    ddl = "measure string, service string, model_run_id string, value double, mape double, flag int, date timestamp_ntz"
+    tested = []
+    for parts in (1, 7):
+        registry = spark.createDataFrame([], ddl) if not tested else spark.read.parquet(paths["registry"])
+        out = run_leg_costs(spark, lc.repartition(parts), registry, cfg, as_of="2026-01-01 00:00:00", out_dir=d)
+        paths = persist(out, d, cfg)
+        tested.append({r.ts_id for r in out["fit"].predictions.collect()})
+    assert tested[0] == tested[1] and len(tested[0]) > 30
+    stored = spark.read.parquet(paths["registry"]).collect()
+    assert sorted((r.service, r.flag) for r in stored) == [("s1", 0), ("s2", 1)]
+    errs = spark.read.parquet(paths["row_errors"])
+    assert errs.count() == 2 * len(tested[0]) and errs.select("run_id").distinct().count() == 2
+    champion = next(r.model_run_id for r in stored if r.flag == 1)
+    assert errs.filter(F.col("run_id") == champion).count() == len(tested[0])
+    fits = spark.read.parquet(paths["fits"]).collect()
+    from pyspark.ml import PipelineModel
+    assert [PipelineModel.load(r.model_path).stages[-1].getNumTrees for r in fits] == [r.n_trees for r in fits]
+    balance = spark.read.option("header", True).csv(paths["balance"])
+    assert {r.service for r in balance.select("service").collect()} == {"s1", "s2"}
+    assert spark.read.option("header", True).csv(paths["service_counts"]).count() == 2
