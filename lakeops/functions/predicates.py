@@ -42,11 +42,6 @@ def eq_flag(a, b) -> Column:
     return F.when(_c(a) == _c(b), F.lit(1)).otherwise(F.lit(0))
 
 
-def safe_div(num, den) -> Column:
-    """Division that yields NULL for a zero divisor (ANSI mode raises)."""
-    return F.try_divide(_c(num), _c(den))
-
-
 def row_mean(*cols) -> Column:
     """Mean across columns, skipping NULL/NaN cells (pandas ``mean(axis=1)``).
 

@@ -11,10 +11,13 @@ AQE threshold), so nothing passes through the driver.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lakeops.session import scratch_path
+from lakeops.sinks.writers import set_table_location
 
 _K = "__lakeops_key"
 
@@ -100,12 +103,14 @@ def append_new_keys(batch: DataFrame, target_path: str, key: str,
                     dedupe: str = "error", fmt: str = "parquet") -> dict[str, int]:
     """Append the batch rows with new keys to a table folder; return counts.
 
-    The report is computed first (one small aggregate job), then the new
-    rows are appended in one write job.  Appending while the same folder is
+    The batch is written to the shared folder once, so the check of its keys,
+    the report and the append read it instead of computing it again.  Appending while the same folder is
     scanned is safe: the scan lists its files when the job is planned.
     """
     spark = batch.sparkSession
-    batch = dedupe_batch(batch, key, dedupe)
+    path = scratch_path(spark, "batch")
+    batch.write.parquet(path)
+    batch = dedupe_batch(spark.read.schema(batch.schema).parquet(path), key, dedupe)
     stored = spark.read.format(fmt).load(target_path)
     report = insert_new_keys_report(batch, stored, key).first().asDict()
     if report["n_added"] > 0:
@@ -144,9 +149,15 @@ def upsert_report(stored: DataFrame, new: DataFrame, key: str,
                  F.count_if(F.col("_n").isNotNull() | F.col("_s").isNotNull()).alias("n_total"))
 
 
+def next_version(location: str) -> str:
+    """A new folder beside ``location``: the next version of the same table."""
+    return f"{location.rstrip('/').rsplit('__v', 1)[0]}__v{uuid.uuid4().hex[:12]}"
+
+
 def replace_by_key_path(stored_path: str, new: DataFrame, key: str, out_path: str | None = None,
                         fmt: str = "parquet", null_safe: bool = True) -> str:
-    """Write ``upsert_by_key`` of a stored folder to a *new* folder; return it.
+    """Write ``upsert_by_key`` of a stored folder to a *new* folder beside it;
+    return it.
 
     Plain Parquet has no ``MERGE``/``DELETE``, and Spark refuses to overwrite
     a folder the same plan reads; the staged folder is the new version, and
@@ -154,7 +165,7 @@ def replace_by_key_path(stored_path: str, new: DataFrame, key: str, out_path: st
     """
     spark = new.sparkSession
     stored = spark.read.format(fmt).load(stored_path)
-    out_path = out_path or scratch_path(spark, "replace")
+    out_path = out_path or next_version(stored_path)
     upsert_by_key(stored, new, key, null_safe).write.mode("overwrite").format(fmt).save(out_path)
     return out_path
 
@@ -172,13 +183,9 @@ def replace_by_key_table(spark: SparkSession, table: str, new: DataFrame, key: s
     """Replace-by-key on a catalog table: write the merged rows to a sibling
     folder of the current location, then switch the table to it in one
     metadata step.  Returns the new location."""
-    loc = table_location(spark, table).rstrip("/")
-    base = loc.rsplit("__v", 1)[0]
-    import uuid
-    out = f"{base}__v{uuid.uuid4().hex[:12]}"
+    out = next_version(table_location(spark, table))
     upsert_by_key(spark.table(table), new, key, null_safe).write.mode("overwrite").parquet(out)
-    spark.sql(f"ALTER TABLE {table} SET LOCATION '{out}'")
-    spark.sql(f"REFRESH TABLE {table}")
+    set_table_location(spark, table, out)
     return out
 
 

@@ -122,10 +122,3 @@ def multi_price_groups(df: DataFrame, group_cols: Sequence[str], target: str) ->
                                     F.count(F.lit(1)).alias("n_rows"))
     return g.filter(F.col("_mn") < F.col("_mx")).select(*group_cols, "n_rows")
 
-
-def registry_append(registry: DataFrame, *decisions: DataFrame) -> DataFrame:
-    """Stored rows plus new decisions, by column name."""
-    out = registry
-    for d in decisions:
-        out = out.unionByName(d.select(*registry.columns))
-    return out

@@ -12,14 +12,14 @@ from __future__ import annotations
 import uuid
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from lakeops.functions.names import model_key, strip_prefixes
 from lakeops.functions.predicates import is_non_negative, is_not_nan, row_mean
 from lakeops.functions.time import zone_stamp
 from lakeops.operators import keyed, legs as L, profile as P
-from lakeops.plans import roles as R
+from lakeops.plans import orders as O, roles as R
 from lakeops.session import scratch_path
 from lakeops.sinks import writers as W
 from lakeops.sources import files as S
@@ -143,6 +143,33 @@ def q_items(spark, sf):
                                        items_product_key="l_partkey")
 
 
+@query("load_orders", f"""
+SELECT b.* FROM {SQL_BATCH} b WHERE b.o_custkey IN (SELECT c_custkey FROM {SQL_KNOWN} k)
+  AND b.o_orderkey NOT IN (SELECT o_orderkey FROM {SQL_STORED} s)""")
+def q_load_orders(spark, sf):
+    """C1 as one plan: orders of known customers, new keys only."""
+    t = R.tables(spark, sf)
+    cols = O.OrderCols(order_id="o_orderkey", customer_id="o_custkey", customer_key="c_custkey")
+    return O.load_orders(R.orders_batch(t), R.known_customers(t), R.orders_stored(t), cols)
+
+
+#: Keys of the stored items.
+_SQL_STORED_ITEMS = "(SELECT DISTINCT l_orderkey FROM lineitem WHERE l_orderkey % 5 = 0)"
+
+
+@query("load_items", f"""
+SELECT l.*, p.p_retailprice AS unit_price
+FROM lineitem l JOIN {SQL_PRODUCTS} p ON l.l_partkey = p.p_partkey
+WHERE l.l_orderkey IN (SELECT o_orderkey FROM {SQL_BATCH} b)
+  AND l.l_orderkey NOT IN {_SQL_STORED_ITEMS}""")
+def q_load_items(spark, sf):
+    """C2 as one plan: items priced, then only those whose key is not stored."""
+    t = R.tables(spark, sf)
+    stored = t.lineitem.filter("l_orderkey % 5 = 0").select("l_orderkey").distinct()
+    return O.load_items(t.lineitem, R.orders_batch(t), R.products(t), stored, item_id="l_orderkey", order_id="o_orderkey",
+                        product_id="p_partkey", price="p_retailprice", items_order_id="l_orderkey", items_product_id="l_partkey")
+
+
 _SQL_OLD = sql_summary(f"o.o_orderdate < {SQL_CUTOFF}")
 _SQL_NEW = sql_summary(f"o.o_orderdate >= {SQL_CUTOFF}")
 
@@ -255,6 +282,35 @@ def q_sql_script(spark, sf):
     return W.run_sql_script(spark, stmts)
 
 
+@query("sql_script_text", """
+SELECT o_orderstatus || ';' AS status, count(*) AS n_orders FROM orders GROUP BY o_orderstatus""")
+def q_sql_script_text(spark, sf):
+    """K9 from one text, with semicolons in a comment and in a literal."""
+    view = f"lk_s_{uuid.uuid4().hex[:8]}"
+    return W.run_sql_script(spark, f"""
+-- the orders; all of them
+CREATE OR REPLACE TEMPORARY VIEW {view} AS SELECT o_orderstatus FROM parquet.`{sf.rstrip('/')}/orders.parquet`;
+/* one row; per status */
+SELECT concat(o_orderstatus, ';') AS status, count(*) AS n_orders FROM {view} GROUP BY o_orderstatus;
+""")
+
+
+@query("ctas_sorted_properties", "SELECT c_custkey, c_name, c_nationkey, 'customers' AS kind, TRUE AS sorted FROM customer")
+def q_ctas_sorted(spark, sf):
+    """K8 + O3: create-table-as-select with a sort key and table properties,
+    read back with a property and whether each row's file is in key order."""
+    name, loc = f"lakeops_cs_{uuid.uuid4().hex[:8]}", scratch_path(spark, "ctas_sorted")
+    rows = S.read_table(spark, sf, "customer").select("c_custkey", "c_name", "c_nationkey")
+    W.overwrite_table(rows, name=name, path=loc, sort_within=["c_nationkey", "c_custkey"], properties={"kind": "customers"})
+    kind = spark.sql(f"SHOW TBLPROPERTIES {name} ('kind')").first()["value"]
+    W.drop_table(spark, name)
+    out = spark.read.parquet(loc).withColumn("_file", F.input_file_name()).withColumn("_at", F.expr("_metadata.file_block_start")) \
+        .withColumn("_pos", F.monotonically_increasing_id())
+    before = F.lag(F.struct("c_nationkey", "c_custkey")).over(Window.partitionBy("_file", "_at").orderBy("_pos"))
+    key = F.struct("c_nationkey", "c_custkey")
+    return out.select("c_custkey", "c_name", "c_nationkey", F.lit(kind).alias("kind"), F.coalesce(before <= key, F.lit(True)).alias("sorted"))
+
+
 # =============================================================== filters, scalars
 
 @query("filter_threshold", "SELECT * FROM orders WHERE o_orderkey > 3102")

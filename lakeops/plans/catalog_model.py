@@ -309,7 +309,7 @@ def q_registry_append(spark, sf):
     reg = spark.read.parquet(path)
     dec = G.challenger_select(R.new_scores(t), reg, as_of=R.AS_OF)
     W.append(dec.select(*reg.columns), path, is_path=True)
-    return spark.read.parquet(path)
+    return spark.read.schema(reg.schema).parquet(path)
 
 
 @query("single_price_groups", f"""

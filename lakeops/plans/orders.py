@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lakeops.operators import keyed
+from lakeops.session import scratch_path
 
 
 @dataclass(frozen=True)
@@ -44,6 +45,14 @@ def customer_summary(orders: DataFrame, customers: DataFrame,
                     "last_order_date")
 
 
+def priced_items(batch_items: DataFrame, orders: DataFrame, products: DataFrame, *, order_id: str = "order_id",
+                 product_id: str = "product_id", price: str = "price", items_order_id: str | None = None,
+                 items_product_id: str | None = None) -> DataFrame:
+    """Items of known orders with their unit price."""
+    return keyed.items_with_unit_price(batch_items, orders, products, order_key=order_id, product_key=product_id,
+                                       price_col=price, items_order_key=items_order_id, items_product_key=items_product_id)
+
+
 def load_orders(batch: DataFrame, customers: DataFrame, stored: DataFrame,
                 cols: OrderCols = OrderCols(), dedupe: str = "none") -> DataFrame:
     """C1 as a plan: batch orders of known customers, new keys only."""
@@ -53,12 +62,10 @@ def load_orders(batch: DataFrame, customers: DataFrame, stored: DataFrame,
 
 def load_items(batch_items: DataFrame, orders: DataFrame, products: DataFrame,
                stored_items: DataFrame, *, item_id: str = "order_item_id",
-               order_id: str = "order_id", product_id: str = "product_id",
-               price: str = "price", dedupe: str = "none") -> DataFrame:
-    """C2 as a plan: items of known orders with unit price, new keys only."""
-    priced = keyed.items_with_unit_price(batch_items, orders, products, order_key=order_id,
-                                         product_key=product_id, price_col=price)
-    return keyed.new_key_rows(priced, stored_items, item_id, dedupe)
+               dedupe: str = "none", **names) -> DataFrame:
+    """C2 as a plan: items of known orders with unit price, new keys only
+    (``names`` as in :func:`priced_items`)."""
+    return keyed.new_key_rows(priced_items(batch_items, orders, products, **names), stored_items, item_id, dedupe)
 
 
 def run_orders_etl(spark, orders_csv: str, items_csv: str, *, orders_path: str,
@@ -67,8 +74,10 @@ def run_orders_etl(spark, orders_csv: str, items_csv: str, *, orders_path: str,
                    cols: OrderCols = OrderCols(), dedupe: str = "error") -> dict:
     """The daily job: append new orders, append new items, replace the summary.
 
-    Returns the three reports.  The summary is written to a new folder
-    (staged replace) whose path is returned as ``summary_path``.
+    Returns the three reports.  The summary is computed once; its table is
+    written to a new folder beside the old one (staged replace) whose path is
+    returned as ``summary_path``, and the old one can go once readers have
+    switched.
     """
     from lakeops.sources.files import read_csv
 
@@ -78,11 +87,12 @@ def run_orders_etl(spark, orders_csv: str, items_csv: str, *, orders_path: str,
 
     orders = spark.read.parquet(orders_path)
     new_items = read_csv(spark, items_csv, items_schema)
-    priced = keyed.items_with_unit_price(new_items, orders, products, order_key=cols.order_id,
-                                         product_key="product_id", price_col="price")
+    priced = priced_items(new_items, orders, products, order_id=cols.order_id)
     r_items = keyed.append_new_keys(priced, items_path, "order_item_id", dedupe=dedupe)
 
-    summary = customer_summary(spark.read.parquet(orders_path), customers, cols)
+    staged = scratch_path(spark, "summary")
+    customer_summary(spark.read.parquet(orders_path), customers, cols).write.parquet(staged)
+    summary = spark.read.parquet(staged)
     stored = spark.read.parquet(summary_path)
     rep = keyed.upsert_report(stored, summary, "customer_id").first().asDict()
     new_path = keyed.replace_by_key_path(summary_path, summary, "customer_id")

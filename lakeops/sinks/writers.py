@@ -9,6 +9,7 @@ the directory being read.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -54,14 +55,9 @@ def write_partitioned(df: DataFrame, path: str, by: Sequence[str], fmt: str = "c
 
 
 def create_table(spark: SparkSession, name: str, columns_ddl: str, location: str | None = None,
-                 fmt: str = "parquet", sort_by: Sequence[str] | None = None,
-                 properties: dict[str, str] | None = None, replace: bool = False) -> None:
-    """``CREATE TABLE [IF NOT EXISTS] name (cols) USING fmt`` (K7, O3, K8).
-
-    ``sort_by`` maps a sort key to ``SORTED BY`` through bucketing-free
-    clustering is not available for plain tables, so it is applied on
-    write instead (see :func:`overwrite_table`).
-    """
+                 fmt: str = "parquet", properties: dict[str, str] | None = None, replace: bool = False) -> None:
+    """``CREATE TABLE [IF NOT EXISTS] name (cols) USING fmt`` (K7, K8).  A sort
+    key takes effect when rows are written: see :func:`overwrite_table`."""
     if replace:
         spark.sql(f"DROP TABLE IF EXISTS {name}")
     sql = f"CREATE TABLE IF NOT EXISTS {name} ({columns_ddl}) USING {fmt}"
@@ -88,15 +84,20 @@ def append(df: DataFrame, target: str, *, is_path: bool = False, fmt: str = "par
 
 
 def overwrite_table(df: DataFrame, name: str | None = None, path: str | None = None,
-                    sort_within: Sequence[str] | None = None, fmt: str = "parquet") -> None:
+                    sort_within: Sequence[str] | None = None, fmt: str = "parquet",
+                    properties: dict[str, str] | None = None) -> None:
     """Create-table-as-select after drop (K3).  ``sort_within`` is the
-    column-store ``ORDER BY`` key (O3); no key means no sort."""
+    column-store ``ORDER BY`` key (O3); no key means no sort.  ``properties``
+    become table properties (K8)."""
     out = df.sortWithinPartitions(*sort_within) if sort_within else df
     w = out.write.mode("overwrite").format(fmt)
     if path:
         w = w.option("path", path)
     if name:
         w.saveAsTable(name)
+        if properties:
+            props = ", ".join(f"'{k}' = '{v}'" for k, v in properties.items())
+            df.sparkSession.sql(f"ALTER TABLE {name} SET TBLPROPERTIES ({props})")
     elif path:
         w.save(path)
     else:
@@ -109,14 +110,31 @@ def set_table_location(spark: SparkSession, name: str, location: str) -> None:
     spark.sql(f"REFRESH TABLE {name}")
 
 
-def run_sql_script(spark: SparkSession, statements: Sequence[str]) -> DataFrame | None:
-    """Run SQL statements in order and return the last result (K9).
+#: Comments, quoted text, a separator, or anything else of a SQL script.
+_SCRIPT_PIECE = re.compile(
+    r"""(?P<comment>--[^\n]*|/\*.*?\*/)|'(?:\\.|[^'\\])*'|"(?:\\.|[^"\\])*"|`[^`]*`|(?P<end>;)|.""", re.S)
 
-    Statements are given as a list: splitting one text on ``;`` breaks on
-    semicolons inside string literals.  Empty entries are skipped.
-    """
+
+def split_statements(script: str) -> list[str]:
+    """The statements of a SQL text: cut at semicolons outside quotes and
+    comments; a piece of nothing but comments is no statement."""
+    out, piece, real = [], "", False
+    for m in _SCRIPT_PIECE.finditer(script + "\n;"):
+        if m["end"]:
+            out += [piece.strip()] if real else []
+            piece, real = "", False
+        else:
+            piece += m[0]
+            real = real or not (m["comment"] or m[0].isspace())
+    return out
+
+
+def run_sql_script(spark: SparkSession, statements: str | Sequence[str]) -> DataFrame | None:
+    """Run SQL statements in order and return the last result (K9): a list of
+    them, or one text that :func:`split_statements` cuts.  Empty entries are
+    skipped."""
     last = None
-    for stmt in statements:
+    for stmt in split_statements(statements) if isinstance(statements, str) else statements:
         s = stmt.strip()
         if s:
             last = spark.sql(s)

@@ -319,3 +319,16 @@ def test_sql_script_returns_last(spark):
     out = run_sql_script(spark, ["CREATE OR REPLACE TEMP VIEW lk_x AS SELECT 1 AS a", "  ",
                                  "SELECT a + 1 AS b FROM lk_x"])
     assert out.first().b == 2
+
+
+def test_sql_script_pieces():
+    from lakeops.sinks.writers import split_statements
+    text = "SELECT ';' AS a; -- x; y\n ; /* only; this */ ;SELECT \"a;b\", `c;d`, 'it\\'s;' -- end"
+    assert split_statements(text) == ["SELECT ';' AS a", "SELECT \"a;b\", `c;d`, 'it\\'s;' -- end"]
+    assert split_statements("") == split_statements(" ; -- none\n;") == []
+
+
+def test_value_counts_ordered(spark):
+    from lakeops.operators.profile import value_counts
+    df = spark.createDataFrame([("a", "x"), ("a", "y"), ("a", "y"), ("b", "z"), ("a", None)], "g string, v string")
+    assert [tuple(r) for r in value_counts(df, ["g"], "v", ordered=True).collect()] == [("a", "y", 2), ("a", "x", 1), ("b", "z", 1)]

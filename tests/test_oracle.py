@@ -8,7 +8,7 @@ import pandas as pd
 import pytest
 
 import __spark_entry__ as entry
-from conftest import SF_SMALL
+from conftest import SF_ORACLE, SF_SMALL
 
 TABLES = ("region nation customer supplier part orders lineitem events documents embeddings "
           "pages benchmark labels conversations").split()
@@ -35,18 +35,29 @@ def table(df):
     return cols, sorted(out)
 
 
+#: Nothing at the small size passes their solution-id threshold.
+LARGER = {"filter_threshold", "legs_costs_wide_join", "role_playing_dimension", "legs_costs_result",
+          "legs_costs_result_default", "ctas_legs_costs_result"}
+#: Take minutes at the larger size: their rows are compared by tools/oracle_check.py.
+MODELS = {"group_models", "best_iteration", "group_predictions", "feature_importance", "leg_costs_decisions"}
+
+
 @pytest.fixture(scope="module")
-def con():
-    c = duckdb.connect()
-    for t in TABLES:
-        c.sql(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{SF_SMALL}/{t}.parquet')")
-    return c
+def cons():
+    out = {}
+    for sf in (SF_SMALL, SF_ORACLE):
+        out[sf] = duckdb.connect()
+        for t in TABLES:
+            out[sf].sql(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{sf}/{t}.parquet')")
+    return out
 
 
 @pytest.mark.parametrize("name", sorted(entry.oracle_sql()))
-def test_query_matches_oracle(spark, con, name):
-    got = entry.queries()[name](spark, SF_SMALL).toPandas()
-    want = con.sql(entry.oracle_sql()[name]).df()
+def test_query_matches_oracle(spark, cons, name):
+    sf = SF_ORACLE if name in LARGER else SF_SMALL
+    got = entry.queries()[name](spark, sf).toPandas()
+    want = cons[sf].sql(entry.oracle_sql()[name]).df()
+    assert len(want) > 0 or name in MODELS
     assert table(got) == table(want)
 
 
