@@ -155,8 +155,9 @@ def line_up(docs: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
     return np.concatenate(parts), np.concatenate(places) if places else np.zeros(0, np.int64)
 
 
-def forward(params: list[np.ndarray], row: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Hidden layer and log-probabilities of the classes at these places."""
+def forward(params: list[np.ndarray], row: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """At these places: hidden layer, the classes' logits less the largest,
+    their exponentials and the sums of those."""
     tables, bias, out, offset = params
     h = tables[0][row[at + PLACES[0]]]
     for k in range(1, len(PLACES)):
@@ -165,16 +166,15 @@ def forward(params: list[np.ndarray], row: np.ndarray, at: np.ndarray) -> tuple[
     np.tanh(h, out=h)
     z = h @ out + offset
     z -= z.max(axis=1, keepdims=True)
-    z -= np.log(np.exp(z).sum(axis=1, keepdims=True))
-    return h, z
+    e = np.exp(z)
+    return h, z, e, e.sum(axis=1)
 
 
 def learn(params: list[np.ndarray], seen: list[np.ndarray], row: np.ndarray, at: np.ndarray) -> None:
     """One Adagrad step on the words at these places."""
-    h, z = forward(params, row, at)
-    d = np.exp(z, out=z)
-    d[np.arange(len(at)), row[at]] -= 1.0
-    d /= len(at)
+    h, _, d, total = forward(params, row, at)
+    d /= (total * len(at))[:, None]
+    d[np.arange(len(at)), row[at]] -= 1.0 / len(at)
     dh = (d @ params[2].T) * (1.0 - h * h)
     dt = np.empty(SHAPES[0], np.float32)
     for k, place in enumerate(PLACES):
@@ -224,8 +224,8 @@ def score(texts: list[bytes], lex: Lexicon, params: list[np.ndarray]) -> list[tu
     each[0] = 0.0
     for i in range(0, len(at), BLOCK):
         part = at[i:i + BLOCK]
-        _, z = forward(params, row, part)
-        each[i + 1:i + 1 + len(part)] = z[np.arange(len(part)), row[part]]
+        _, z, _, sums = forward(params, row, part)
+        each[i + 1:i + 1 + len(part)] = z[np.arange(len(part)), row[part]] - np.log(sums)
     if coded:
         each[1:] += lex.within[np.concatenate(coded)]
     total, ends = np.cumsum(each), np.cumsum([len(c) for c in coded])
