@@ -6,13 +6,15 @@ is the sum of the log-probabilities of its words, each given its neighbours.
 Words fall into classes: the ``TOP`` most frequent ones of the corpus have one
 each, all others share ``BUCKETS`` by their ending.  The network (an embedding
 per place and class, one tanh layer, a softmax over classes) gives P(class |
-neighbours); P(word | class) comes from the counts of all documents, with the
-words beyond the ``VOCABULARY`` most frequent sharing their class's rest evenly.
+neighbours); P(word | class) is the word's share of its class in the counts of
+all documents, whatever the word's rank.
 
-Counts are summed by Spark over every document.  Training is data-parallel:
+Counts are summed by Spark over every document and stay a table.  Only the
+``VOCABULARY`` most frequent words also go to the tasks; a document's other words
+meet their counts in a join.  Training is data-parallel:
 in each round every task runs Adagrad over all its documents from the same
 weights, and the tasks' weights are averaged by their number of words.  The
-model's size is fixed by the parameters; it does not grow with the corpus.
+network's size is fixed by the parameters; the counts grow with the corpus.
 """
 
 from __future__ import annotations
@@ -32,8 +34,9 @@ TOP = 48
 BUCKETS = 16
 CLASSES = TOP + BUCKETS
 PAD = CLASSES
+#: Most words that are sent to the tasks; the others' counts are joined.
 VOCABULARY = 20_000
-#: Steps of a word's count per doubling, at which the vocabulary may end.
+#: Steps of a word's count per doubling, at which the words sent may end.
 STEPS = 16
 PLACES = (-2, -1, 1, 2)
 HIDDEN = 16
@@ -75,7 +78,8 @@ def bucket(word: bytes) -> int:
 @dataclass
 class Lexicon:
     """Class and log P(word | class) by word number; the last ``BUCKETS``
-    numbers stand for the words outside the vocabulary."""
+    numbers stand for a word not sent, as if counted once: the log of its
+    count is to be added."""
 
     numbers: dict[bytes, int]
     classes: np.ndarray
@@ -90,8 +94,9 @@ class Lexicon:
 def lexicon(counts: DataFrame) -> Lexicon:
     """From the counts of all words: the frequent ones by name, the rest as
     sums per bucket."""
-    # The vocabulary is what lies above a count, found on some hundreds of
-    # steps of the count's logarithm: no task and no driver sorts words.
+    # Sent is what lies above a count, found on some hundreds of steps of the
+    # count's logarithm: no task and no driver sorts words.  A word not sent has
+    # at most about one in VOCABULARY of all tokens, so no key of the join is hot.
     step = F.floor(F.log2("n") * STEPS)
     kept, above = 0, None
     for r in sorted(counts.groupBy(step.alias("s")).count().collect(), reverse=True):
@@ -100,26 +105,25 @@ def lexicon(counts: DataFrame) -> Lexicon:
             break
         above = r.s
     named = counts.filter(step >= above) if above is not None else counts.limit(0)
-    frequent = sorted(((bytes(r.word), r.n) for r in named.collect()), key=lambda x: (-x[1], x[0]))
+    frequent = [(bytes(r.word), r.n) for r in named.collect()]
+    if len(frequent) < TOP:                              # too many words share a step, or there are few
+        frequent = [(bytes(r.word), r.n) for r in counts.orderBy(F.desc("n"), "word").limit(TOP).collect()]
+    frequent.sort(key=lambda x: (-x[1], x[0]))
     place = F.pmod(F.crc32(F.expr("substring(word, -3)")), F.lit(BUCKETS)).cast("int")
-    sums = counts.groupBy(place.alias("b")).agg(F.sum("n").alias("n"), F.count("*").alias("kinds")).collect()
-    mass, kinds = np.zeros(BUCKETS), np.zeros(BUCKETS)
+    sums = counts.groupBy(place.alias("b")).agg(F.sum("n").alias("n")).collect()
+    mass = np.zeros(BUCKETS)
     for r in sums:
-        mass[r.b], kinds[r.b] = r.n, r.kinds
+        mass[r.b] = r.n
     for w, n in frequent[:TOP]:
         mass[bucket(w)] -= n
-        kinds[bucket(w)] -= 1
     total = mass + 1.0                                   # one for words never counted
     classes = np.zeros(len(frequent) + BUCKETS, np.int16)
     within = np.zeros(len(frequent) + BUCKETS, np.float32)
     for i, (w, n) in enumerate(frequent):
         b = bucket(w)
         classes[i], within[i] = (i, 0.0) if i < TOP else (TOP + b, np.log(n / total[b]))
-        if i >= TOP:
-            mass[b] -= n
-            kinds[b] -= 1
     classes[len(frequent):] = TOP + np.arange(BUCKETS)
-    within[len(frequent):] = np.log((mass + 1.0) / total / (kinds + 1.0))
+    within[len(frequent):] = -np.log(total)
     prior = np.ones(CLASSES)
     prior[:min(TOP, len(frequent))] += [n for _, n in frequent[:TOP]]
     prior[TOP:] += total
@@ -217,7 +221,8 @@ def train(rows: DataFrame, lex: Lexicon) -> list[np.ndarray]:
 
 
 def score(texts: list[bytes], lex: Lexicon, params: list[np.ndarray]) -> list[tuple[int, float]]:
-    """Words and summed log-probability of each text."""
+    """Words and summed log-probability of each text, words not sent as if
+    counted once."""
     coded = [lex.encode(words_of(t)) for t in texts]
     row, at = line_up([lex.classes[c] for c in coded])
     each = np.empty(len(at) + 1)
@@ -244,18 +249,29 @@ def pseudo_likelihood(docs: DataFrame) -> DataFrame:
     """
     rows = doc_bytes(docs)
     kind = docs.schema["doc_id"].dataType.simpleString()
-    lex = lexicon(stage_table(word_counts(rows), "lm-counts"))
+    counts = stage_table(word_counts(rows), "lm-counts")
+    lex = lexicon(counts)
     sc = docs.sparkSession.sparkContext
     words, sent = sc.broadcast(lex), sc.broadcast(train(rows, lex))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        out, known = None, words.value.numbers
         for b in batches:
+            out = out or pa.schema([b.schema.field("doc_id"), ("n_words", pa.int64()), ("log_prob", pa.float64()),
+                                    ("rest", pa.map_(pa.binary(), pa.int64()))])
             ids, texts = b.column("doc_id"), b.column("text").to_pylist()
             for i in range(0, len(texts), 256):
                 found = score(texts[i:i + 256], words.value, sent.value)
-                yield arrow_batch(pa.schema([b.schema.field("doc_id"), ("n_words", pa.int64()), ("log_prob", pa.float64())]),
-                                  [ids[i:i + 256], [n for n, _ in found], [x for _, x in found]])
-
-    scored = rows.mapInArrow(run, f"doc_id {kind}, n_words long, log_prob double")
+                rest = [list(Counter(w for w in words_of(t) if w not in known).items()) for t in texts[i:i + 256]]
+                yield arrow_batch(out, [ids[i:i + 256], [n for n, _ in found], [x for _, x in found], rest])
+
+    # Rows get a number of their own before they are staged: ids may be null or repeat.
+    staged = stage_table(rows.mapInArrow(run, f"doc_id {kind}, n_words long, log_prob double, rest map<binary,bigint>")
+                         .withColumn("row", F.monotonically_increasing_id()), "lm-scores")
+    # log 1 = 0: a word counted once in all has nothing to add.
+    more = (staged.select("row", F.explode("rest").alias("word", "times")).join(counts.filter("n > 1"), "word")
+            .groupBy("row").agg(F.sum(F.col("times") * F.log("n")).alias("more")))
+    scored = staged.join(more, "row", "left").select(
+        "doc_id", "n_words", (F.col("log_prob") + F.coalesce("more", F.lit(0.0))).alias("log_prob"))
     mean = F.when(F.col("n_words") > 0, F.col("log_prob") / F.col("n_words"))
     return scored.withColumn("mean_log_prob", mean).withColumn("perplexity", F.exp(-F.col("mean_log_prob")))

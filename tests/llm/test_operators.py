@@ -373,6 +373,20 @@ def test_lm_classes_share_their_probability(spark):
     assert all(m <= 1.0 + 1e-5 for m in mass.values())
 
 
+@pytest.mark.parametrize("tied", [False, True])
+def test_lm_every_word_keeps_its_count(spark, monkeypatch, tied):
+    """Words that are not sent to the tasks score by their own counts too,
+    also where more words than may be sent share the highest count."""
+    texts = ["".join(f"w{j} " for j in range(120))] * 3 if tied else ["".join(f"w{j} " for j in range(i, 120)) for i in range(120)]
+    rows = [(1, t) for t in texts] + [(None, texts[0]), (2, "")]
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    whole = sorted(map(repr, lm.pseudo_likelihood(frame).selectExpr("doc_id", "n_words", "round(log_prob, 2)").collect()))
+    monkeypatch.setattr(lm, "VOCABULARY", 60)
+    lex = lm.lexicon(lm.word_counts(lm.doc_bytes(frame)))
+    assert lm.TOP <= len(lex.numbers) <= 60
+    assert sorted(map(repr, lm.pseudo_likelihood(frame).selectExpr("doc_id", "n_words", "round(log_prob, 2)").collect())) == whole
+
+
 # 10 personal data
 
 PATTERNS = (r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)", r"[0-9]([\x20-]?[0-9])+", r"\+[0-9][\x20().0-9-]+[0-9]")
