@@ -1,7 +1,7 @@
 """Quality rules: counts of words, symbols and repeats, and compression bands.
 
 zstandard ratios (compressed bytes / bytes) of a whole document and of its
-fixed chunks tell repetitive text (low) and incompressible text (high) from
+chunks tell repetitive text (low) and incompressible text (high) from
 prose.  Short texts compress badly whatever they say and long ones find more
 to refer back to, so each length has its own pair of limits.  One map pass;
 no shuffle, and a row's memory is its own text.
@@ -37,9 +37,15 @@ BANDS = (
     (32_000, 0.29, 0.60),
     (128_000, 0.24, 0.60),
 )
-#: Bytes of a chunk, its limits, and the share of a text's whole chunks that may lie outside.
-CHUNK = 2048
-CHUNK_BAND = (0.38, 0.75)
+#: Bytes of a chunk and its limits; a text has the largest chunks that fit into
+#: it twice, or the smallest.  The limits below 2,048 bytes leave about a tenth around the ratios of all
+#: such chunks of documents labelled as good.
+CHUNKS = (
+    (256, 0.51, 0.90),
+    (512, 0.50, 0.79),
+    (2_048, 0.38, 0.75),
+)
+#: Share of a text's bytes that may stand in chunks outside their limits.
 MAX_ODD_CHUNKS = 0.34
 
 
@@ -72,14 +78,21 @@ def ratio(data: bytes, coder: zstandard.ZstdCompressor) -> float:
 
 
 def within_bands(data: bytes, coder: zstandard.ZstdCompressor) -> tuple[float, float, bool]:
-    """Whole ratio, share of odd chunks, and whether both are within limits.
-    A text below the first band's length has no verdict against it."""
+    """Whole ratio, share of bytes in odd chunks, and whether both are within
+    limits.  The bytes after the last whole chunk are measured by a chunk that
+    ends with the text, and count for themselves only.  A text below the first
+    band's length has no verdict against it."""
     if not data:
         return 1.0, 0.0, True
     whole = ratio(data, coder)
     low, high = next(((lo, hi) for at, lo, hi in reversed(BANDS) if len(data) >= at), (0.0, float("inf")))
-    chunks = [ratio(data[i:i + CHUNK], coder) for i in range(0, len(data) - CHUNK + 1, CHUNK)]
-    odd = sum(not CHUNK_BAND[0] <= r <= CHUNK_BAND[1] for r in chunks) / len(chunks) if chunks else 0.0
+    odd = 0.0
+    size, lowest, highest = next((c for c in reversed(CHUNKS) if len(data) >= 2 * c[0]), CHUNKS[0])
+    if len(data) >= size:
+        for end in range(size, len(data) + size, size):
+            last = min(end, len(data))
+            if not lowest <= ratio(data[last - size:last], coder) <= highest:
+                odd += (size - (end - last)) / len(data)
     return whole, odd, low <= whole <= high and odd <= MAX_ODD_CHUNKS
 
 

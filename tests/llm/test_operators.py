@@ -3,6 +3,7 @@
 import hashlib
 import re
 import zlib
+from base64 import b64encode
 from collections import Counter, defaultdict
 
 import duckdb
@@ -202,6 +203,20 @@ def test_quality_keeps_good_documents_and_finds_odd_ones(spark):
     assert not quality.measure(b" ".join(noise[i:i + 9] for i in range(0, 6000, 9)), quality.zstandard.ZstdCompressor(level=3))[6]
 
 
+@pytest.mark.parametrize("half", [200, 300, 700, 1000, 2046])
+def test_quality_sees_junk_wherever_it_stands(half):
+    """Good prose beside as much base64 is rejected in either order, in texts
+    shorter than two whole chunks and shorter than one."""
+    docs = pd.read_parquet("/root/testdata/sf0.01/documents.parquet").merge(pd.read_parquet("/root/testdata/sf0.01/labels.parquet"), on="doc_id")
+    coder = quality.zstandard.ZstdCompressor(level=quality.LEVEL)
+    good = [t.encode()[:half].decode(errors="ignore").encode() for t in docs[docs.quality == 1].text
+            if len(t.encode()) >= half and quality.measure(t.encode(), coder)[6]][:40]
+    junk = b64encode(np.random.default_rng(half).bytes(half))[:half - 8]
+    assert len(good) >= 20
+    assert not any(quality.within_bands(t + b"\n" + junk, coder)[2] for t in good)
+    assert not any(quality.within_bands(junk + b"\n" + t, coder)[2] for t in good)
+
+
 # 4 HTML
 
 def test_html_extraction(spark):
