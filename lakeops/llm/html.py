@@ -28,6 +28,10 @@ from lakeops.llm.common import arrow_batch
 
 #: Pages whose elements are the labelled rows.
 SAMPLE = 120
+#: Pages of this many characters and more stay out of the sample (not of the result).
+LONGEST = 200_000
+#: Stories that the assembled pages are made from, at least.
+STORIES = 24
 #: Assembled pages for each of the variants, at least.
 LAYOUTS = 120
 TREES, DEPTH, BINS, RATE = 30, 3, 16, 0.25
@@ -56,6 +60,9 @@ TOKENS = (
     "sidebar side aside widget related recommended share social tags author meta trending",
     "article content main post entry story body text maincontent",
 )
+#: Token groups and tags that are not main text within ``article`` or ``main`` either.
+ASIDE_GROUPS = sum(1 << i for i in range(5))
+ASIDE_TAGS = frozenset("nav form aside footer".split())
 TAG_GROUP = {t: i for i, g in enumerate(TAGS) for t in g.split()} | {f"h{n}": 1 for n in range(1, 7)}
 TOKEN_GROUP = {t: i for i, g in enumerate(TOKENS) for t in g.split()}
 N_FEATURES = 18 + len(TAGS) + 2 * len(TOKENS) + len(TAGS)
@@ -273,6 +280,27 @@ def render(tree: Tree, keep: list[bool]) -> str:
 
 FILLER = ["Home", "About us", "Contact", "Read more", "Terms of use", "Privacy", "Sign in", "Next page", "All rights reserved", "Follow us", "Latest news"]
 
+#: What stories are made from where the sample has too few.
+SENTENCES = [
+    "The river rose during the night and covered the lower road.", "Nobody had expected so much rain in a single week.",
+    "By noon the water had reached the first houses of the village.", "Volunteers carried sand and boards to the bridge.",
+    "A new study follows four hundred households over ten years.", "Its authors compare what people planned with what they did.",
+    "Most savings were made in the first winter, and few after that.", "Prices fell again in March, though less than a year before.",
+    "The old theatre will open its doors in autumn.", "Its roof has been repaired and the seats are new.", "Tickets are cheap.",
+    "Bake the bread for forty minutes, then let it cool on a rack.", "It keeps for three days.", "Use a heavy pan with a lid, because the steam must stay inside while the crust forms.",
+    "The team played well in the second half but could not score.", "Their coach spoke of bad luck and a good goalkeeper.",
+    "Engineers found the fault in a small valve, which had been fitted the wrong way round.", "The train was two hours late.",
+    "In the archive there are letters from sailors, bills of merchants and a map of the harbour drawn by hand in 1782.",
+    "What the council decides next month will matter for schools, buses and the two libraries in the north of the town.",
+    "Was it worth the effort?", "Yes, she says, and laughs.", "Birds return to the island every spring, and each year a few more pairs stay to breed.",
+    "The software reads the measurements once a minute, stores them and sends a short report at the end of the day.",
+]
+
+
+def _story(rng: random.Random) -> list[str]:
+    """Lines of one to seven sentences, the first a title."""
+    return [rng.choice(SENTENCES)[:60], *(" ".join(rng.choices(SENTENCES, k=rng.randint(1, 7))) for _ in range(rng.randint(1, 12)))]
+
 
 def _layouts(paragraphs: list[str], other: list[str], rng: random.Random) -> str:
     """A page around these paragraphs; elements of main text are marked by
@@ -321,11 +349,22 @@ class Marked(Tree):
 
 def _own_labels(html: str) -> tuple[Tree, np.ndarray]:
     """Labels of a real page by the meaning of its tags: inside ``article`` or
-    ``main`` or not; elements around both have none (-1)."""
+    ``main`` or not, and there not in comments, adverts, forms and the like;
+    elements around both have none (-1), nor has any of a page without such tags."""
     tree = parse(html)
-    label = np.zeros(len(tree.tag))
-    for i in range(1, len(label)):
-        label[i] = tree.tag[i] in ("article", "main") or label[tree.parent[i]] == 1
+    n = len(tree.tag)
+    label, aside = np.zeros(n), [False] * n
+    for i in range(1, n):
+        top, up = tree.tag[i] in ("article", "main"), tree.parent[i]
+        groups = tree.groups[i]
+        named = groups & ASIDE_GROUPS and not (top and groups & 1 << 7)
+        aside[i] = aside[up] or bool(named and (top or label[up] == 1)) or (tree.tag[i] in ASIDE_TAGS and label[up] == 1)
+        label[i] = not aside[i] and (top or label[up] == 1)
+    if not label.any():
+        return tree, np.full(n, -1.0)
+    for i in range(n - 1, 0, -1):
+        if label[i] != 1 and label[tree.parent[i]] == 1:
+            label[tree.parent[i]] = -1
     return tree, _mixed(tree, label)
 
 
@@ -349,7 +388,7 @@ def training_rows(pages: list[str], seed: int = 11, variants: int = 4) -> tuple[
         lines = [x for x in render(tree, [v == 1 for v in label]).split("\n") if x]
         if lines:
             stories.append(lines[:40])
-    stories = stories or [["A first line of text, with some words in it.", "And a second line, which is a little longer than the first one."]]
+    stories += [_story(rng) for _ in range(STORIES - len(stories))]
     other = [x[:200] for s in stories for x in s[:6]]
     for _ in range(variants):
         for story in stories * (-(-LAYOUTS // len(stories))):
@@ -367,7 +406,7 @@ def training_rows(pages: list[str], seed: int = 11, variants: int = 4) -> tuple[
 
 def train(pages: DataFrame, sample: int = SAMPLE) -> Boosted:
     # Only ids compete for the sample: a task sends at most ``sample`` of them.
-    usable = pages.select("page_id", "html").filter("page_id IS NOT NULL AND length(html) < 200000")
+    usable = pages.select("page_id", "html").filter(f"page_id IS NOT NULL AND length(html) < {LONGEST}")
     chosen = [r.page_id for r in usable.select("page_id").orderBy(F.xxhash64("page_id"), "page_id").limit(sample).collect()]
     rows = usable.filter(F.col("page_id").isin(chosen)).orderBy(F.xxhash64("page_id"), F.xxhash64("html")).limit(sample).select("html").collect()
     x, y = training_rows([r.html for r in rows])

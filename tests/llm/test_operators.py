@@ -237,6 +237,30 @@ def test_html_extraction(spark):
     assert html.extract(odd.limit(0)).count() == 0
 
 
+def test_html_labels():
+    tree, label = html._own_labels("<body><div>a</div><section><p>b</p></section></body>")
+    assert (label == -1).all()                          # nothing says what is main here
+    tree, label = html._own_labels("<body><div>m</div><article><p>a</p><div class='comments'><article><p>b</p></article></div><form><p>c</p></form></article></body>")
+    got = dict(zip(((i, t) for i, t in enumerate(tree.tag)), label, strict=True))
+    assert [v for (_, t), v in got.items() if t == "p"] == [1, 0, 0]
+    assert [v for (_, t), v in got.items() if t == "article"] == [-1, 0] and label[tree.tag.index("form")] == 0
+
+
+def test_html_learns_without_article_tags(spark):
+    """Pages laid out in sections: the trees come from the layouts alone."""
+    pages = pd.read_parquet(f"{SF}/pages.parquet")
+    want = queries.QUERIES["op4_html_extraction"](spark, SF).toPandas().set_index("page_id").text
+    for tag in ("section class='story'", "div class='content'"):
+        plain = pages.html.str.replace("<article>", f"<{tag}>").str.replace("</article>", f"</{tag.split()[0]}>")
+        x, y = html.training_rows(plain.head(html.SAMPLE).tolist())
+        model = html.fit(x, y, np.ones(len(y)))
+        found, right, all_lines = 0, 0, 0
+        for i, page in zip(pages.page_id, plain):
+            got, lines = Counter(html.main_text(page, model).split("\n")), Counter(want[i].split("\n"))
+            found, right, all_lines = found + got.total(), right + (got & lines).total(), all_lines + lines.total()
+        assert 2 * right / (found + all_lines) > 0.9, (tag, found, right, all_lines)
+
+
 def test_html_decoding_is_consistent(spark):
     tree = html.parse("<body><div><p>a</p><p>b</p></div><div><p>c</p></div></body>")
     raw = np.array([0.0, 0.0, 3.0, 3.0, -0.5, -3.0, -3.0])
