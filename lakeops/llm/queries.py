@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from lakeops.llm import decontam, html, lm, packing, pii, quality, secrets, simhash, spans, urls
+from lakeops.llm import decontam, html, lm, packing, pii, quality, secrets, simhash, spans, trie, urls
 from lakeops.llm.common import load
 
 QUERIES: dict = {}
@@ -85,3 +85,12 @@ def op9_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op4_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every page with its main text."""
     return html.extract(load(spark, sf_dir, "pages"))
+
+
+@query
+def op13_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every node of the prefix trie of the rebuilt conversations."""
+    return trie.rebuilt_trie(load(spark, sf_dir, "conversations"))
+
+
+ORACLE["op13_conversation_trie"] = trie.oracle_sql()
