@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from lakeops.llm import decontam, html, lm, packing, pii, quality, secrets, simhash, spans, trie, urls
+from lakeops.llm import decontam, embeddings, html, lm, packing, pii, quality, secrets, simhash, spans, trie, urls
 from lakeops.llm.common import load
 
 QUERIES: dict = {}
@@ -94,3 +94,12 @@ def op13_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 ORACLE["op13_conversation_trie"] = trie.oracle_sql()
+
+
+@query
+def op12_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every vector with its near-duplicate links and group."""
+    return embeddings.near_vectors(load(spark, sf_dir, "embeddings"))
+
+
+ORACLE["op12_embedding_near_dedup"] = embeddings.oracle_sql()
