@@ -115,7 +115,8 @@ def name_prefixes(turns: DataFrame, members: DataFrame) -> tuple[DataFrame, int]
     for h in sorted(cuts, reverse=True):
         tops = reduce(DataFrame.union, named).select("conv_id", F.col("depth").alias("top"), F.col("name").alias("root"))
         rows = stage_table(cuts[h].join(tops, ["conv_id", "top"]), f"trie-cut-{h}")
-        names = rows.groupBy("depth", "root", "digest").agg(F.min("conv_id").alias("name"))
+        # written before the join: a hot prefix's rows can then be split over tasks
+        names = stage_table(rows.groupBy("depth", "root", "digest").agg(F.min("conv_id").alias("name")), f"trie-least-{h}")
         named.append(stage_table(rows.join(names, ["depth", "root", "digest"]).select("conv_id", "depth", "name"), f"trie-names-{h}"))
     return reduce(DataFrame.union, named), height
 
