@@ -41,7 +41,7 @@ BLOCK, GRID = 8, 3
 #: Seed of the rotation.
 SEED = 12
 #: Rows of a cell that one task compares at once, and rows of a step in it.
-CHUNK, STEP = 8192, 256
+CHUNK, STEP = 4096, 256
 #: Slack of budgets and cells over the last digits of a double.
 SLACK = 1e-9
 
@@ -221,9 +221,10 @@ def links(classes: DataFrame, cosine: float = COSINE) -> DataFrame:
     """``(cid, links, other)``: parts of each class's number of linked vectors
     in other classes, and links whose components are those of all links."""
     cell = ["dims", "block", "cell"]
-    sizes = placed(classes, cosine, []).groupBy(*cell).agg(*[F.ceil(F.count_if(c) / CHUNK).cast("int").alias(n) for n, c in (("hosts", F.col("home")), ("visits", ~F.col("home")))])
-    sizes = stage_table(sizes.filter("hosts > 0"), "embed-sizes")
-    rows = placed(classes, cosine, ["cid", "copies", "vector"]).join(sizes, cell)
+    # only cells of more than one chunk are looked up, at most one in CHUNK rows
+    sizes = placed(classes, cosine, []).groupBy(*cell).agg(*[F.greatest(F.lit(1), F.ceil(F.count_if(c) / CHUNK)).cast("int").alias(n) for n, c in (("hosts", F.col("home")), ("visits", ~F.col("home")))])
+    sizes = stage_table(sizes.filter("hosts > 1 OR visits > 1"), "embed-sizes")
+    rows = placed(classes, cosine, ["cid", "copies", "vector"]).join(sizes, cell, "left").fillna(1, ["hosts", "visits"])
     part = F.pmod(F.xxhash64("cid"), F.when(F.col("home"), F.col("hosts")).otherwise(F.col("visits"))).cast("int")
     rows = rows.withColumn("part", part)
     # one row for each pair of chunks that a row's chunk is in: (left, right) of
@@ -231,13 +232,12 @@ def links(classes: DataFrame, cosine: float = COSINE) -> DataFrame:
     among = F.transform(F.sequence(F.lit(0), F.col("hosts") - 1), lambda j: F.struct(
         F.lit(True).alias("own"), F.least("part", j).alias("left"), F.greatest("part", j).alias("right"),
         (F.col("part") >= j).alias("as_host"), (F.col("part") == j).alias("within")))
-    hosting = F.when(F.col("visits") > 0, F.transform(F.sequence(F.lit(0), F.col("visits") - 1), lambda j: F.struct(
-        F.lit(False).alias("own"), j.alias("left"), F.col("part").alias("right"), F.lit(True).alias("as_host"), F.lit(False).alias("within"))))
+    hosting = F.transform(F.sequence(F.lit(0), F.col("visits") - 1), lambda j: F.struct(
+        F.lit(False).alias("own"), j.alias("left"), F.col("part").alias("right"), F.lit(True).alias("as_host"), F.lit(False).alias("within")))
     visiting = F.transform(F.sequence(F.lit(0), F.col("hosts") - 1), lambda j: F.struct(
         F.lit(False).alias("own"), F.col("part").alias("left"), j.alias("right"), F.lit(False).alias("as_host"), F.lit(False).alias("within")))
-    meets = F.when(F.col("home"), F.concat(among, F.coalesce(hosting, F.array().cast(
-        "array<struct<own:boolean,left:int,right:int,as_host:boolean,within:boolean>>")))).otherwise(visiting)
-    rows = rows.select(*cell, "home", "cid", "copies", "vector", F.inline(meets))
+    meets = F.when(F.col("home"), F.concat(among, hosting)).otherwise(visiting)
+    rows = rows.select(*cell, "cid", "copies", "vector", F.inline(meets))
     return rows.groupBy(*cell, "own", "left", "right").applyInPandas(_compare(cosine), "cid long, links long, other long")
 
 

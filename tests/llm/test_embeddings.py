@@ -46,7 +46,7 @@ def crowd(seed=3, dims=24):
     return rows + [(3000 + i, rows[i % 3][1]) for i in range(30)]
 
 
-@pytest.mark.parametrize("chunk", [8192, 7])
+@pytest.mark.parametrize("chunk", [4096, 7])
 def test_all_links_are_found(spark, monkeypatch, chunk):
     """Chunks of seven rows: every way in which parts of a cell meet."""
     monkeypatch.setattr(embeddings, "CHUNK", chunk)
