@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from lakeops.llm import decontam, embeddings, html, lm, packing, pii, quality, secrets, simhash, spans, trie, urls
+from lakeops.llm import alignment, decontam, embeddings, html, lm, packing, pii, quality, secrets, simhash, spans, trie, urls
 from lakeops.llm.common import load
 
 QUERIES: dict = {}
@@ -103,3 +103,9 @@ def op12_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 ORACLE["op12_embedding_near_dedup"] = embeddings.oracle_sql()
+
+
+@query
+def op11_tokenizer_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document with the groups and links of its tokens on both sides."""
+    return alignment.token_alignment(load(spark, sf_dir, "documents"))[0]
