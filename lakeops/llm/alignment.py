@@ -15,8 +15,8 @@ A task works on Arrow tables of some ``PORTION`` bytes of text at a time:
 * ``Table.group_by`` counts the id pairs of the portion.
 
 The portions' counts are merged by Spark.  Each portion then gets back the
-counts of its own pairs -- a table no larger than the portion -- and joins them
-to its links in Arrow again.  Texts are encoded once: between the two passes
+counts of its own pairs, a table no larger than the portion, and sums them
+over its links.  Texts are encoded once: between the two passes
 the documents stand in a written table, their links as ids into the portion's
 pairs.
 """
@@ -40,7 +40,7 @@ from lakeops.llm.common import stage_table
 #: The two vocabularies: their names in ``public_tokenizers``.
 VOCABULARY_A, VOCABULARY_B = "byte_bpe_50k.json", "piece_bpe_32k.model"
 #: Bytes of text in an Arrow table (a longer text is a table of its own).
-PORTION = 1 << 22
+PORTION = 1 << 20
 
 #: What the first pass writes: a row per document (``local`` null) with its
 #: links, and a row per id pair of a portion (``doc_id`` and ``n_a`` null).
@@ -104,20 +104,19 @@ def lists(ids: list) -> pa.ListArray:
     return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(flat))
 
 
-def joined(ids: pa.ListArray, vocabulary: pa.Array) -> list[bytes]:
+def joined(ids: pa.ListArray, vocabulary: pa.Array) -> pa.Array:
     """The bytes of every list of ids."""
     spelled = pa.LargeListArray.from_arrays(pc.cast(ids.offsets, pa.int64()), vocabulary.take(ids.values))
-    return pc.binary_join(spelled, pa.scalar(b"", pa.large_binary())).to_pylist()
+    return pc.binary_join(spelled, pa.scalar(b"", pa.large_binary()))
 
 
 def token_ends(ids: pa.ListArray, lengths: pa.Array, name: str) -> pa.Table:
-    """``(doc, end, <name>, i)`` for every token: its place among the lists,
-    the byte offset of its end there, its id, its place among all tokens."""
-    doc, flat = pc.list_parent_indices(ids), ids.flatten()
-    total = pc.cumulative_sum(lengths.take(flat))
-    before = pc.cumulative_sum(pa.concat_arrays([pa.array([0], pa.int64()), lengths.take(flat)]))     # of all tokens up to a list's first
-    end = pc.subtract(total, before.take(ids.offsets.take(doc)))
-    return pa.table({"doc": doc, "end": end, name: flat, f"i{name}": pa.array(np.arange(len(flat)))})
+    """``(doc, end, <name>, i<name>)`` for every token: its list, its end, its
+    id, its place among all tokens.  ``end`` is the document's start in the
+    portion plus the offset of the token's end in the document: as both sides
+    have the same bytes, a document and an end there are one number."""
+    flat = ids.flatten()
+    return pa.table({"doc": pc.list_parent_indices(ids), "end": pc.cumulative_sum(lengths.take(flat)), name: flat, f"i{name}": pa.array(np.arange(len(flat), dtype=np.int32))})
 
 
 @lru_cache(maxsize=2)
@@ -156,24 +155,29 @@ def align(texts: list[str | None], file_a: str, file_b: str) -> tuple[list[tuple
     given = [t or "" for t in texts]
     ids_a, ids_b = lists(encode_a([" " + t for t in given])), lists(encode_b(given))
     # a text has tokens only where both spell it
-    kept = np.array([bool(t) and x == (whole := b" " + t.encode()) and y == whole
-                     for t, x, y in zip(given, joined(ids_a, word_a), joined(ids_b, word_b), strict=True)], bool)
-    some = pa.array(np.flatnonzero(kept))
-    ids_a, ids_b = (pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(x.value_lengths().to_numpy())]), pa.int32()), x.flatten())
-                    for x in (ids_a.take(some), ids_b.take(some)))
+    whole = pa.array([b" " + t.encode() for t in given], pa.large_binary())
+    kept = pc.and_(pc.and_(pc.equal(joined(ids_a, word_a), whole), pc.equal(joined(ids_b, word_b), whole)), pa.array(list(map(bool, given)), pa.bool_()))
+    kept = kept.to_numpy(zero_copy_only=False).astype(bool)
+    if not kept.all():
+        ids_a, ids_b = (pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(x.value_lengths().to_numpy())]), pa.int32()), x.flatten())
+                        for x in (ids_a.take(pa.array(np.flatnonzero(kept))), ids_b.take(pa.array(np.flatnonzero(kept)))))
+    n_kept = int(kept.sum())
     ends_a = token_ends(ids_a, pc.cast(pc.binary_length(word_a), pa.int64()), "a")
-    ends_b = token_ends(ids_b, pc.cast(pc.binary_length(word_b), pa.int64()), "b")
-    links = ends_a.join(ends_b, ["doc", "end"], join_type="inner").sort_by([("ia", "ascending"), ("ib", "ascending")])
-    pairs = links.group_by(["a", "b"]).aggregate([([], "count_all")]).sort_by([("count_all", "descending"), ("a", "ascending"), ("b", "ascending")])
-    pairs = pa.table({"a": pairs["a"], "b": pairs["b"], "n": pairs["count_all"], "local": pa.array(np.arange(len(pairs)), pa.int32())})
-    local = links.join(pairs.select(["a", "b", "local"]), ["a", "b"]).sort_by([("ia", "ascending"), ("ib", "ascending")])
+    ends_b = token_ends(ids_b, pc.cast(pc.binary_length(word_b), pa.int64()), "b").drop_columns(["doc"])
+    links = ends_a.join(ends_b, "end", join_type="inner", use_threads=False).sort_by([("ia", "ascending"), ("ib", "ascending")])
+    code = pc.add(pc.multiply(pc.cast(links["a"], pa.int64()), len(bytes_b)), pc.cast(links["b"], pa.int64())).combine_chunks().dictionary_encode()
+    code = code.combine_chunks() if isinstance(code, pa.ChunkedArray) else code
+    counts = pa.table({"local": code.indices}).group_by("local", use_threads=False).aggregate([([], "count_all")]).sort_by("local")
+    spelled = code.dictionary.to_numpy()
+    pairs = pa.table({"a": pa.array((spelled // len(bytes_b)).astype(np.int32)), "b": pa.array((spelled % len(bytes_b)).astype(np.int32)),
+                      "n": counts["count_all"], "local": counts["local"]})
     doc = links["doc"].to_numpy()
     # groups end where a link does; tokens of no bytes share an end with others and close no further group
     new = np.flatnonzero(np.concatenate([(doc[1:] != doc[:-1]) | (np.diff(links["end"].to_numpy()) != 0), [True]])) if len(doc) else np.empty(0, np.int64)
     last_a, last_b = links["ia"].to_numpy()[new], links["ib"].to_numpy()[new]
     texts_out = group_texts(ids_a, ids_b, (len(bytes_a), len(bytes_b)), last_a, last_b, doc[new]).to_pylist()
-    n_groups, n_links = np.bincount(doc[new], minlength=len(some)), np.bincount(doc, minlength=len(some))
-    rows, flat = [(0, 0, 0, 0, "")] * len(texts), local["local"].combine_chunks()
+    n_groups, n_links = np.bincount(doc[new], minlength=n_kept), np.bincount(doc, minlength=n_kept)
+    rows, flat = [(0, 0, 0, 0, "")] * len(texts), pc.cast(code.indices, pa.int32())
     sizes = np.zeros(len(texts), np.int64)
     sizes[kept] = n_links
     counts = zip(np.flatnonzero(kept).tolist(), ids_a.value_lengths().to_pylist(), ids_b.value_lengths().to_pylist(), n_groups.tolist(), n_links.tolist(), texts_out, strict=True)
@@ -227,10 +231,10 @@ def pair_counts(pairs: DataFrame) -> DataFrame:
 
 def _score(left: pa.Table, right: pa.Table) -> pa.Table:
     """A portion's documents with the sums over their links."""
-    links = left["links"].combine_chunks()
-    flat = pa.table({"doc": pc.list_parent_indices(links), "local": links.flatten()})
-    known = pa.table({"local": right["local"], "count": right["count"], "best": pc.cast(right["best"], pa.int64())})
-    sums = flat.join(known, "local", join_type="inner").group_by("doc").aggregate([("count", "sum"), ("best", "sum")])
+    links, known = left["links"].combine_chunks(), right.sort_by("local").combine_chunks()
+    flat = links.flatten()
+    sums = pa.table({"doc": pc.list_parent_indices(links), "count": known["count"].take(flat), "best": pc.cast(known["best"], pa.int64()).take(flat)})
+    sums = sums.group_by("doc", use_threads=False).aggregate([("count", "sum"), ("best", "sum")])
     count, best = np.zeros(len(left), np.int64), np.zeros(len(left), np.int64)
     at = sums["doc"].to_numpy()
     count[at], best[at] = sums["count_sum"].to_numpy(), sums["best_sum"].to_numpy()
