@@ -5,7 +5,8 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from lakeops.operators import binning as B, errors as E, registry as G, transform as T
+from lakeops.operators import binning as B, boosting as H, encoding as C, errors as E, registry as G, transform as T
+from lakeops.operators.ranks import weighted_medians
 from lakeops.plans import roles as R
 from lakeops.plans.catalog import ORACLE, QUERIES, SQL_AS_OF, query, rounded  # noqa: F401
 from lakeops.session import scratch_path
@@ -110,31 +111,35 @@ def _sql_psi(x: str, lam: str) -> str:
             f"ELSE -(pow(1 - {x}, 2 - {lam}) - 1) / (2 - {lam}) END) END")
 
 
-def _sql_yj_fit() -> str:
+def _sql_yj_fit(rounds: int = 10) -> str:
+    """The bracketing search, a block of CTEs per round; the columns here are
+    done before the last one."""
     longf = "\nUNION ALL ".join(
         f"SELECT l_returnflag AS measure, l_linestatus AS service, '{c}' AS column_name, "
         f"CAST({c} AS DOUBLE) AS x FROM lineitem WHERE {c} IS NOT NULL AND NOT isnan({c})"
         for c in _YJ_COLS)
-    lams = ", ".join(f"({lam!r})" for lam in T.LAMBDA_GRID)
-    return f"""lf AS ({longf}),
-lam AS (SELECT * FROM (VALUES {lams}) v(lam)),
-st AS (SELECT measure, service, column_name, count(*) AS n, min(x) AS xmin, max(x) AS xmax,
-              sum(sign(x) * ln(abs(x) + 1)) AS s FROM lf GROUP BY measure, service, column_name),
-g AS (SELECT lf.measure, lf.service, lf.column_name, lam.lam,
-             var_pop({_sql_psi('lf.x', 'lam.lam')}) AS var, avg({_sql_psi('lf.x', 'lam.lam')}) AS mean
-      FROM lf, lam GROUP BY lf.measure, lf.service, lf.column_name, lam.lam),
-ll AS (SELECT g.*, st.n, st.xmin, st.xmax,
-              CASE WHEN g.var > 0 AND st.n > 1 THEN -st.n / 2.0 * ln(g.var) + (g.lam - 1) * st.s END AS llf
-       FROM g JOIN st USING (measure, service, column_name)),
-fit AS (SELECT measure, service, column_name, any_value(n) AS n, any_value(xmin) AS xmin,
-               any_value(xmax) AS xmax, arg_max(lam, llf) AS blam, arg_max(var, llf) AS bvar,
-               arg_max(mean, llf) AS bmean, max(llf) AS bllf
-        FROM ll GROUP BY measure, service, column_name),
-params AS (SELECT measure, service, column_name, n,
-                  CASE WHEN n > 1 AND xmin < xmax AND bllf IS NOT NULL THEN blam END AS lmbda,
-                  CASE WHEN n > 1 AND xmin < xmax AND bllf IS NOT NULL THEN bmean END AS mean,
-                  CASE WHEN n > 1 AND xmin < xmax AND bllf IS NOT NULL THEN sqrt(bvar) END AS std
-           FROM fit)"""
+    keys = "measure, service, column_name"
+    out = [f"""lf AS MATERIALIZED ({longf}),
+st AS MATERIALIZED (SELECT {keys}, count(*) AS n, min(x) AS xmin, max(x) AS xmax, sum(sign(x) * ln(abs(x) + 1)) AS s FROM lf GROUP BY {keys}),
+r0 AS MATERIALIZED (SELECT {keys}, {T.CENTRE!r}::DOUBLE AS centre, {T.STEP!r}::DOUBLE AS step, FALSE AS narrowed, xmin = xmax AS done,
+       CAST(NULL AS DOUBLE) AS llf, CAST(NULL AS DOUBLE) AS var, CAST(NULL AS DOUBLE) AS mean FROM st)"""]
+    for i in range(rounds):
+        out.append(f"""p{i} AS (SELECT {keys}, k, centre + k * step AS lam FROM r{i}, unnest(range(-{T.REACH}, {T.REACH + 1})) u(k) WHERE NOT done),
+e{i} AS MATERIALIZED (SELECT {keys}, k, lam, var_pop(psi) AS var, avg(psi) AS mean FROM
+       (SELECT {keys}, k, lam, {_sql_psi('x', 'lam')} AS psi FROM lf JOIN p{i} USING ({keys})) v GROUP BY {keys}, k, lam),
+b{i} AS MATERIALIZED (SELECT {keys}, k, lam, var, mean, -n / 2.0 * ln(var) + (lam - 1) * s AS llf FROM e{i} JOIN st USING ({keys}) WHERE var > 0 AND n > 1
+       QUALIFY row_number() OVER (PARTITION BY {keys} ORDER BY llf DESC, k) = 1),
+r{i + 1} AS MATERIALIZED (SELECT {keys}, coalesce(b.lam, r.centre) AS centre,
+       CASE WHEN r.done THEN r.step WHEN abs(b.k) < {T.REACH} THEN r.step / 4 WHEN r.narrowed THEN r.step ELSE r.step * 2 END AS step,
+       r.narrowed OR coalesce(abs(b.k) < {T.REACH}, TRUE) AS narrowed,
+       r.done OR b.k IS NULL OR (abs(b.k) < {T.REACH} AND r.step <= {T.FINEST!r}) AS done,
+       CASE WHEN r.done THEN r.llf ELSE b.llf END AS llf, CASE WHEN r.done THEN r.var ELSE b.var END AS var, CASE WHEN r.done THEN r.mean ELSE b.mean END AS mean
+       FROM r{i} r LEFT JOIN b{i} b USING ({keys}))""")
+    out.append(f"""params AS (SELECT {keys}, n, CASE WHEN n > 1 AND xmin < xmax AND llf IS NOT NULL THEN centre END AS lmbda,
+                  CASE WHEN n > 1 AND xmin < xmax AND llf IS NOT NULL THEN mean END AS mean,
+                  CASE WHEN n > 1 AND xmin < xmax AND llf IS NOT NULL THEN sqrt(var) END AS std
+           FROM r{rounds} JOIN st USING ({keys}) WHERE done)""")
+    return ",\n".join(out)
 
 
 @query("yeo_johnson_fit", f"""WITH {_sql_yj_fit()}
@@ -364,3 +369,97 @@ def q_bin_counts(spark, sf):
     o = R.tables(spark, sf).orders
     d = o.select("o_orderkey", F.col("o_orderstatus").alias("measure"), F.col("o_totalprice").alias("y"))
     return B.bin_counts(B.qcut_bins(d, ["measure"], "y", 20), ["measure"])
+
+
+# =============================================================== boosting of all groups
+
+_SQL_ORDER = f"((o_orderkey % 2147483647 + {C.SEED}) * 48271) % 2147483647, o_orderkey"
+
+
+def _sql_statistic(column: str) -> str:
+    before = f"OVER (PARTITION BY measure, {column} ORDER BY {_SQL_ORDER} ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)"
+    return (f"round(CASE WHEN is_test THEN (coalesce(sum(y) FILTER (WHERE NOT is_test) OVER (PARTITION BY measure, {column}), 0) + mean) "
+            f"/ (count(*) FILTER (WHERE NOT is_test) OVER (PARTITION BY measure, {column}) + 1) "
+            f"ELSE (coalesce(sum(y) FILTER (WHERE NOT is_test) {before}, 0) + mean) / (count(*) FILTER (WHERE NOT is_test) {before} + 1) END, 3) AS {column}")
+
+
+@query("ordered_target_statistics", f"""
+WITH s AS (SELECT o_orderkey, o_orderstatus AS measure, o_orderpriority AS priority, CAST(o_custkey AS VARCHAR) AS customer,
+                  o_totalprice AS y, o_orderkey % 5 = 0 AS is_test FROM orders),
+m AS (SELECT measure, avg(y) AS mean FROM s WHERE NOT is_test GROUP BY measure)
+SELECT o_orderkey, measure, {_sql_statistic('priority')}, {_sql_statistic('customer')}, is_test
+FROM s JOIN m USING (measure)""")
+def q_target_statistics(spark, sf):
+    """Categories (customers: thousands of labels) as ordered target statistics."""
+    o = R.tables(spark, sf).orders
+    d = o.select("o_orderkey", F.col("o_orderstatus").alias("measure"), F.col("o_orderpriority").alias("priority"),
+                 F.col("o_custkey").cast("string").alias("customer"), F.col("o_totalprice").alias("y"), (F.col("o_orderkey") % 5 == 0).alias("is_test"))
+    out = C.target_statistics(d, ["measure"], ["priority", "customer"], "y", row_id="o_orderkey")
+    return rounded(out.select("o_orderkey", "measure", "priority", "customer", "is_test"), ["priority", "customer"], 3)
+
+
+_SQL_WEIGHT = f"greatest(1, CAST(round({float(H.ONE)!r} / greatest(1.0, abs(y))) AS BIGINT))"
+
+
+def _sql_weighted_median(keys: str, src: str, value: str = "y") -> str:
+    """``(keys, med)``: the lowest value with half of the weight at or below it."""
+    return f"""SELECT {keys}, min(v) AS med FROM (
+    SELECT {keys}, {value} AS v, sum(sum(w)) OVER (PARTITION BY {keys} ORDER BY {value}) AS upto, sum(sum(w)) OVER (PARTITION BY {keys}) AS whole
+    FROM {src} GROUP BY {keys}, {value}) c WHERE 2 * upto >= whole GROUP BY {keys}"""
+
+
+@query("weighted_median", f"""
+WITH s AS (SELECT o_orderstatus AS measure, o_orderpriority AS service, o_totalprice AS y FROM orders),
+t AS (SELECT *, {_SQL_WEIGHT} AS w FROM s)
+{_sql_weighted_median('measure, service', 't')}""")
+def q_weighted_median(spark, sf):
+    """The price of each group that minimises the mean relative error."""
+    y = F.col("o_totalprice")
+    d = R.tables(spark, sf).orders.select(F.col("o_orderstatus").alias("measure"), F.col("o_orderpriority").alias("service"),
+                                          y.alias("_v"), H.relative_weight(y).alias("_w"))
+    return weighted_medians(d, ["measure", "service"]).withColumnRenamed("_val", "med")
+
+
+_TREE_FEATURES = ["l_quantity", "l_discount", "l_tax", "l_partkey"]
+_TREE_GROUP = ["l_returnflag", "l_linestatus"]
+
+
+def _sql_first_tree(depth: int = 2) -> str:
+    g = ", ".join(_TREE_GROUP)
+    points = "[" + ", ".join(repr(i / H.BINS) for i in range(1, H.BINS)) + "]"
+    edges = ", ".join(f"list_distinct(quantile_cont(CAST({f} AS DOUBLE), {points})) AS e{i}" for i, f in enumerate(_TREE_FEATURES))
+    bins = ", ".join(f"1 + len(list_filter(e{i}, lambda x: x < CAST(r.{f} AS DOUBLE))) AS b{i}" for i, f in enumerate(_TREE_FEATURES))
+    out = [f"""WITH r AS (SELECT {g}, {', '.join(_TREE_FEATURES)}, l_extendedprice AS y FROM lineitem WHERE l_orderkey % 5 <> 0),
+t AS (SELECT *, {_SQL_WEIGHT} AS w FROM r),
+start AS ({_sql_weighted_median(g, 't')}),
+edges AS (SELECT {g}, {edges} FROM r GROUP BY {g}),
+n0 AS MATERIALIZED (SELECT {g}, r.y, r.w, CAST(sign(r.y - med) AS BIGINT) AS z, med, {bins}, 1 AS node
+       FROM t r JOIN start USING ({g}) JOIN edges USING ({g}))"""]
+    for level in range(depth):
+        long = " UNION ALL ".join(f"SELECT {g}, node, {i} AS feature, b{i} AS bin, sum(z * w) AS s, sum(w) AS w FROM n{level} WHERE node >= {1 << level} GROUP BY ALL" for i in range(len(_TREE_FEATURES)))
+        part = f"PARTITION BY {g}, node, feature"
+        out.append(f"""h{level} AS (SELECT {g}, node, feature, bin, CAST(sum(s) OVER ({part} ORDER BY bin) AS DOUBLE) AS sl, CAST(sum(w) OVER ({part} ORDER BY bin) AS DOUBLE) AS wl,
+       CAST(sum(s) OVER ({part}) AS DOUBLE) AS st, CAST(sum(w) OVER ({part}) AS DOUBLE) AS wt FROM ({long}) u),
+c{level} AS (SELECT {g}, node, feature, bin, (sl * sl / wl + (st - sl) * (st - sl) / (wt - wl) - st * st / wt) / {float(H.ONE)!r} AS gain FROM h{level} WHERE wl < wt),
+s{level} AS MATERIALIZED (SELECT * FROM c{level} WHERE gain > 1e-12 QUALIFY row_number() OVER (PARTITION BY {g}, node ORDER BY gain DESC, feature, bin) = 1),
+n{level + 1} AS MATERIALIZED (SELECT n.* EXCLUDE (node), CASE WHEN s.node IS NULL THEN n.node
+         ELSE 2 * n.node + CAST([{', '.join(f'n.b{i}' for i in range(len(_TREE_FEATURES)))}][s.feature + 1] > s.bin AS INTEGER) END AS node
+       FROM n{level} n LEFT JOIN s{level} s ON {' AND '.join(f'n.{c} = s.{c}' for c in _TREE_GROUP)} AND n.node = s.node)""")
+    splits = " UNION ALL ".join(f"SELECT {g}, node, feature, CAST(bin AS INTEGER) AS bin, round(gain, 9) AS gain, 0.0::DOUBLE AS value FROM s{level}" for level in range(depth))
+    out.append(f"""d AS (SELECT {g}, node, y - med AS rest, w FROM n{depth}),
+l AS ({_sql_weighted_median(g + ', node', 'd', 'rest')})""")
+    return ",\n".join(out) + f"""
+{splits}
+UNION ALL SELECT {g}, node, -1, -1, 0.0, round(med * {H.LEARNING_RATE!r}, 6) FROM l"""
+
+
+@query("boosted_first_tree", _sql_first_tree())
+def q_first_tree(spark, sf):
+    """The first tree of every group, all groups at once: bins, weights,
+    splits with their gains, leaves (feature and bin -1)."""
+    li = R.tables(spark, sf).lineitem
+    row = ((F.col("l_orderkey") * 8 + F.col("l_linenumber")) * 1000003 + F.col("l_partkey")).alias("row_id")
+    d = li.select(row, *_TREE_GROUP, *_TREE_FEATURES, F.col("l_extendedprice").alias("y"), (F.col("l_orderkey") % 5 == 0).alias("is_test"))
+    fit = H.fit_boosted(d, _TREE_GROUP, "y", _TREE_FEATURES, n_trees=1, depth=2)
+    t = fit.trees.select(*_TREE_GROUP, "node", "feature", "bin", "gain", "value")
+    return t.withColumns({"gain": F.round("gain", 9), "value": F.round("value", 6)}).fillna(-1, ["feature", "bin"]).fillna(0.0, ["gain", "value"])

@@ -3,7 +3,8 @@
 load -> drop constant columns (keys protected) -> column roles and check ->
 per-group reports (service counts, target balance) -> single-price groups ->
 stratified split per group -> Yeo-Johnson on numeric features (fit on the
-training rows) -> one GBT model per group, saved under the run's id ->
+training rows) -> categories as ordered target statistics (of the training
+rows) -> one boosted model per group, saved under the run's id ->
 relative errors and metrics -> champion/challenger decision -> registry rows.
 :func:`persist` appends the errors and decisions and writes the reports.
 
@@ -20,7 +21,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lakeops.functions.names import model_key
-from lakeops.operators import binning as B, errors as E, models as M, profile as P
+from lakeops.operators import binning as B, boosting as H, encoding as C, errors as E, models as M, profile as P
 from lakeops.operators import registry as G, transform as T
 from lakeops.session import checkpoint_root, scratch_path
 from lakeops.sinks import writers as W
@@ -52,11 +53,7 @@ class LegCostConfig:
     yeo_johnson: bool = True
     parallelism: int = 4
     model_name: str = "GBTRegressor"
-
-
-def _string_cats(df: DataFrame, cats) -> DataFrame:
-    """Categorical columns as strings (StringIndexer input)."""
-    return df.withColumns({c: F.col(c).cast("string") for c in cats})
+    learner: str = "spark_ml"           # or "boosted": all groups in one series of jobs, mean relative error as objective
 
 
 def _registry_keys(df: DataFrame, cfg: LegCostConfig) -> DataFrame:
@@ -112,12 +109,17 @@ def run_leg_costs(spark: SparkSession, lc: DataFrame, registry: DataFrame,
     if cfg.yeo_johnson and num:
         params = T.yeo_johnson_fit(split.filter(~F.col("is_test")), g, num)
         split = T.yeo_johnson_apply(split, params, g, num)
-    split = _string_cats(split, cat)
-    data = M.prepare_table(split, g, scratch_path(spark, "leg_cost_rows"))
-
-    fit = M.fit_group_models(spark, data, g, cfg.target, cat, num, id_cols=["row_id", cfg.id_col],
-                             max_iter=cfg.n_trees, max_depth=cfg.depth, seed=cfg.seed,
-                             parallelism=cfg.parallelism, out_path=run_dir)
+    split = C.target_statistics(split, g, cat, cfg.target)
+    if cfg.learner == "boosted":
+        fit = H.fit_boosted(split, g, cfg.target, [*num, *cat], id_cols=["row_id", cfg.id_col], n_trees=cfg.n_trees,
+                            depth=cfg.depth, out_path=run_dir)
+    elif cfg.learner == "spark_ml":
+        data = M.prepare_table(split, g, scratch_path(spark, "leg_cost_rows"))
+        fit = M.fit_group_models(spark, data, g, cfg.target, [*num, *cat], id_cols=["row_id", cfg.id_col],
+                                 max_iter=cfg.n_trees, max_depth=cfg.depth, seed=cfg.seed,
+                                 parallelism=cfg.parallelism, out_path=run_dir)
+    else:
+        raise ValueError(f"no learner {cfg.learner!r}")
     model_run_id = F.concat_ws("_", model_key(cfg.measure, cfg.service, model_name=cfg.model_name), F.lit(run_id))
     errs = E.relative_errors(fit.predictions, "y", "prediction").withColumn("run_id", model_run_id)
     metrics = E.metrics_by_group(errs, g, "y", "prediction")

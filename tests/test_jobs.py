@@ -1,5 +1,6 @@
 """The two composite jobs end to end on small inputs."""
 
+import pytest
 from pyspark.sql import functions as F
 
 from lakeops.plans.leg_costs import LegCostConfig, persist, run_leg_costs
@@ -43,7 +44,8 @@ def test_orders_etl(spark, tmp_path):
     assert rep["summary"]["n_replaced"] == 1 and rep["summary"]["n_added"] == 1
 
 
-def test_leg_costs_job(spark):
+@pytest.mark.parametrize("learner", ["spark_ml", "boosted"])
+def test_leg_costs_job(spark, learner):
     rows = spark.range(1200).select(
         F.col("id").alias("ts_id"),
         F.when(F.col("id") % 3 == 0, "m1").otherwise("m2").alias("measure"),
@@ -58,7 +60,7 @@ def test_leg_costs_job(spark):
         "measure string, service string, model_run_id string, value double, mape double, flag int, "
         "date string").withColumn("date", F.col("date").cast("timestamp_ntz"))
     cfg = LegCostConfig(measure="measure", service="service", target="cost", id_col="ts_id",
-                        categorical=("code",), n_trees=5, depth=3, parallelism=2)
+                        categorical=("code",), n_trees=3, depth=3, parallelism=2, learner=learner)
     out = run_leg_costs(spark, lc, registry, cfg, as_of="2026-01-01 00:00:00")
     assert "constant_col" not in out["roles"].numeric
     single = {(r.measure, r.service): r for r in out["single_price"].collect()}
