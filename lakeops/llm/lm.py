@@ -180,38 +180,72 @@ def learn(params: list[np.ndarray], seen: list[np.ndarray], row: np.ndarray, at:
     d /= (total * len(at))[:, None]
     d[np.arange(len(at)), row[at]] -= 1.0 / len(at)
     dh = (d @ params[2].T) * (1.0 - h * h)
-    dt = np.empty(SHAPES[0], np.float32)
+    # the sum of dh by neighbour's class, as a product with its one-hot rows
+    dt, rows = np.empty(SHAPES[0], np.float32), np.arange(len(at))
     for k, place in enumerate(PLACES):
-        who = row[at + place]
-        for j in range(HIDDEN):
-            dt[k, :, j] = np.bincount(who, dh[:, j], CLASSES + 1)
+        hot = np.zeros((len(at), CLASSES + 1), np.float32)
+        hot[rows, row[at + place]] = 1.0
+        dt[k] = hot.T @ dh
     for p, g, s in zip(params, (dt, dh.sum(axis=0), h.T @ d, d.sum(axis=0)), seen, strict=True):
         s += g * g
         p -= RATE * g / (np.sqrt(s) + 1e-6)
 
 
+def classes_of(column: pa.Array) -> list[np.ndarray]:
+    """Each document's classes, a byte a word."""
+    return [np.frombuffer(c, np.int8).astype(np.int16) for c in column.to_pylist()]
+
+
+def coded(rows: DataFrame, lex: Lexicon) -> DataFrame:
+    """``(row, doc_id, classes, within, rest)``, written: a document's classes,
+    the sum of log P(word | class) with words not sent as if counted once, and
+    those words with their times.  Texts are split and encoded here alone;
+    training and scoring read this table.  ``row`` is the row's own number: ids
+    may be null or repeat."""
+    kind = rows.schema["doc_id"].dataType.simpleString()
+    words = rows.sparkSession.sparkContext.broadcast(lex)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known = words.value
+        n = len(known.numbers)
+        for b in batches:
+            out = pa.schema([b.schema.field("doc_id"), ("classes", pa.binary()), ("within", pa.float64()), ("rest", pa.map_(pa.binary(), pa.int64()))])
+            ids, texts = b.column("doc_id"), b.column("text").to_pylist()
+            for i in range(0, len(texts), 256):
+                classes, within, rest = [], [], []
+                for t in texts[i:i + 256]:
+                    split = words_of(t)
+                    code = known.encode(split)
+                    classes.append(known.classes[code].astype(np.int8).tobytes())
+                    within.append(float(known.within[code].sum(dtype=np.float64)))
+                    rest.append(list(Counter(split[j] for j in np.flatnonzero(code >= n).tolist()).items()))
+                yield arrow_batch(out, [ids[i:i + 256], classes, within, rest])
+
+    found = rows.mapInArrow(run, f"doc_id {kind}, classes binary, within double, rest map<binary,bigint>")
+    return stage_table(found.withColumn("row", F.monotonically_increasing_id()), "lm-coded")
+
+
 def train(rows: DataFrame, lex: Lexicon) -> list[np.ndarray]:
-    """The weights after ``ROUNDS`` passes over all documents."""
+    """The weights after ``ROUNDS`` passes over the coded documents."""
     sc = rows.sparkSession.sparkContext
-    words, params = sc.broadcast(lex), initial(lex.prior)
+    params = initial(lex.prior)
     out = pa.schema([("weights", pa.list_(pa.float64())), ("n", pa.int64())])
     for _ in range(ROUNDS):
         sent = sc.broadcast(params)
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            own, known = [p.copy() for p in sent.value], words.value
+            own = [p.copy() for p in sent.value]
             seen, n = [np.zeros_like(p) for p in own], 0
             for b in batches:
-                texts = b.column("text").to_pylist()
-                for i in range(0, len(texts), 256):
-                    row, at = line_up([known.classes[known.encode(words_of(t))] for t in texts[i:i + 256]])
+                for i in range(0, b.num_rows, 256):
+                    row, at = line_up(classes_of(b.column("classes").slice(i, 256)))
                     for j in range(0, len(at), BATCH):
                         learn(own, seen, row, at[j:j + BATCH])
                     n += len(at)
             if n:
                 yield arrow_batch(out, [[np.concatenate([p.ravel() for p in own]).astype(np.float64).tolist()], [n]])
 
-        parts = rows.select("text").mapInArrow(run, "weights array<double>, n long")
+        parts = rows.select("classes").mapInArrow(run, "weights array<double>, n long")
         mean = (parts.select("n", F.posexplode("weights").alias("i", "w")).groupBy("i")
                 .agg((F.sum(F.col("w") * F.col("n")) / F.sum("n")).alias("w")))
         flat = sorted((r.i, r.w) for r in mean.collect())  # one number per weight, whatever the corpus
@@ -220,22 +254,25 @@ def train(rows: DataFrame, lex: Lexicon) -> list[np.ndarray]:
     return params
 
 
-def score(texts: list[bytes], lex: Lexicon, params: list[np.ndarray]) -> list[tuple[int, float]]:
-    """Words and summed log-probability of each text, words not sent as if
-    counted once."""
-    coded = [lex.encode(words_of(t)) for t in texts]
-    row, at = line_up([lex.classes[c] for c in coded])
+def class_scores(classes: list[np.ndarray], params: list[np.ndarray]) -> list[float]:
+    """The summed log P(class | neighbours) of each document."""
+    row, at = line_up(classes)
     each = np.empty(len(at) + 1)
     each[0] = 0.0
     for i in range(0, len(at), BLOCK):
         part = at[i:i + BLOCK]
         _, z, _, sums = forward(params, row, part)
         each[i + 1:i + 1 + len(part)] = z[np.arange(len(part)), row[part]] - np.log(sums)
-    if coded:
-        each[1:] += lex.within[np.concatenate(coded)]
-    total, ends = np.cumsum(each), np.cumsum([len(c) for c in coded])
-    begins = np.concatenate(([0], ends[:-1])) if coded else ends
-    return [(int(e - a), float(total[e] - total[a])) for a, e in zip(begins, ends, strict=True)]
+    total, ends = np.cumsum(each), np.cumsum([0, *map(len, classes)])
+    return (total[ends[1:]] - total[ends[:-1]]).tolist()
+
+
+def score(texts: list[bytes], lex: Lexicon, params: list[np.ndarray]) -> list[tuple[int, float]]:
+    """Words and summed log-probability of each text, words not sent as if
+    counted once."""
+    codes = [lex.encode(words_of(t)) for t in texts]
+    found = class_scores([lex.classes[c] for c in codes], params)
+    return [(len(c), x + float(lex.within[c].sum(dtype=np.float64))) for c, x in zip(codes, found, strict=True)]
 
 
 def pseudo_likelihood(docs: DataFrame) -> DataFrame:
@@ -248,30 +285,27 @@ def pseudo_likelihood(docs: DataFrame) -> DataFrame:
     result; other columns are left aside.
     """
     rows = doc_bytes(docs)
-    kind = docs.schema["doc_id"].dataType.simpleString()
     counts = stage_table(word_counts(rows), "lm-counts")
     lex = lexicon(counts)
-    sc = docs.sparkSession.sparkContext
-    words, sent = sc.broadcast(lex), sc.broadcast(train(rows, lex))
+    table = coded(rows, lex)
+    sent = docs.sparkSession.sparkContext.broadcast(train(table, lex))
+    out = pa.schema([("row", pa.int64()), ("n_words", pa.int64()), ("log_prob", pa.float64())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        out, known = None, words.value.numbers
         for b in batches:
-            out = out or pa.schema([b.schema.field("doc_id"), ("n_words", pa.int64()), ("log_prob", pa.float64()),
-                                    ("rest", pa.map_(pa.binary(), pa.int64()))])
-            ids, texts = b.column("doc_id"), b.column("text").to_pylist()
-            for i in range(0, len(texts), 256):
-                found = score(texts[i:i + 256], words.value, sent.value)
-                rest = [list(Counter(w for w in words_of(t) if w not in known).items()) for t in texts[i:i + 256]]
-                yield arrow_batch(out, [ids[i:i + 256], [n for n, _ in found], [x for _, x in found], rest])
+            for i in range(0, b.num_rows, 256):
+                part = b.slice(i, 256)
+                classes = classes_of(part.column("classes"))
+                found = np.array(class_scores(classes, sent.value)) + part.column("within").to_numpy()
+                out_ = pa.schema([part.schema.field("doc_id"), *out])
+                yield arrow_batch(out_, [part.column("doc_id"), part.column("row"), [len(c) for c in classes], found])
 
-    # Rows get a number of their own before they are staged: ids may be null or repeat.
-    staged = stage_table(rows.mapInArrow(run, f"doc_id {kind}, n_words long, log_prob double, rest map<binary,bigint>")
-                         .withColumn("row", F.monotonically_increasing_id()), "lm-scores")
+    kind = docs.schema["doc_id"].dataType.simpleString()
+    scored = table.select("doc_id", "row", "classes", "within").mapInArrow(run, f"doc_id {kind}, row long, n_words long, log_prob double")
     # log 1 = 0: a word counted once in all has nothing to add.
-    more = (staged.select("row", F.explode("rest").alias("word", "times")).join(counts.filter("n > 1"), "word")
+    more = (table.select("row", F.explode("rest").alias("word", "times")).join(counts.filter("n > 1"), "word")
             .groupBy("row").agg(F.sum(F.col("times") * F.log("n")).alias("more")))
-    scored = staged.join(more, "row", "left").select(
+    scored = scored.join(more, "row", "left").select(
         "doc_id", "n_words", (F.col("log_prob") + F.coalesce("more", F.lit(0.0))).alias("log_prob"))
     mean = F.when(F.col("n_words") > 0, F.col("log_prob") / F.col("n_words"))
     return scored.withColumn("mean_log_prob", mean).withColumn("perplexity", F.exp(-F.col("mean_log_prob")))
