@@ -16,6 +16,7 @@ it streams by; nothing is shuffled and no task sees more than its split.
 from __future__ import annotations
 
 import heapq
+import re
 import zlib
 from bisect import bisect_right, insort
 from collections.abc import Iterator
@@ -59,8 +60,21 @@ def tokenizer(path: str):
     return tiktoken.Encoding("byte_bpe", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
 
 
+#: White space of this length goes to the other library: this one's pattern
+#: recurses on it and ends the process on runs of some 100,000.
+LONG_BLANK = re.compile(r"\s{2000}")
+
+
+@lru_cache(maxsize=1)
+def careful_tokenizer():
+    from tokenizers import Tokenizer
+    return Tokenizer.from_file(vocabulary_path("byte_bpe_50k.json"))
+
+
 def encode(coder, text: str) -> list[int]:
     """The text's ids, without those of begin and end."""
+    if LONG_BLANK.search(text):
+        return careful_tokenizer().encode(text, add_special_tokens=False).ids
     if SPECIAL not in text:
         return coder.encode_ordinary(text)
     first, *rest = text.split(SPECIAL)
