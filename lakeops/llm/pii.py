@@ -55,7 +55,7 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
                 found.append((start, 0, m.end()))
                 done = m.end()
     for m in IP.finditer(text):
-        if all(len(p.lstrip("0")) <= 3 and int(p) <= 255 for p in m[0].split(".")):
+        if all(len(p) <= 3 and int(p or 0) <= 255 for p in (x.lstrip("0") for x in m[0].split("."))):
             found.append((m.start(), 1, m.end()))
     for m in CARD.finditer(text):
         digits = m[0].translate(SEPARATORS)
