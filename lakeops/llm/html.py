@@ -77,9 +77,18 @@ class Tree(HTMLParser):
         self.parent, self.tag, self.groups = [-1], ["#page"], [0]
         self.texts: list[tuple[int, int, str]] = []
         self.open, self.block, self.hidden = [0], 0, 0
+        self.opened: dict[str, int] = {}                # open elements by tag
+
+    def parse_marked_section(self, i: int, report: int = 1) -> int:
+        """A declaration of an unknown kind is a comment."""
+        try:
+            return super().parse_marked_section(i, report)
+        except AssertionError:
+            return self.parse_bogus_comment(i)
 
     def _close(self, at: int) -> None:
         for n in self.open[at:]:
+            self.opened[self.tag[n]] -= 1
             self.hidden -= self.tag[n] in HIDDEN
             self.block += self.tag[n] in BLOCK
         del self.open[at:]
@@ -110,6 +119,7 @@ class Tree(HTMLParser):
             self.texts.append((self.open[-1], self.block, " "))
         if tag not in VOID:
             self.open.append(n)
+            self.opened[tag] = self.opened.get(tag, 0) + 1
             self.hidden += tag in HIDDEN
 
     def handle_startendtag(self, tag: str, attrs: list) -> None:
@@ -118,6 +128,8 @@ class Tree(HTMLParser):
             self.handle_endtag(tag)
 
     def handle_endtag(self, tag: str) -> None:
+        if not self.opened.get(tag):
+            return
         for at in range(len(self.open) - 1, 0, -1):
             if self.tag[self.open[at]] == tag:
                 self._close(at)
@@ -128,9 +140,15 @@ class Tree(HTMLParser):
             self.texts.append((self.open[-1], self.block, data))
 
 
+#: A tag that the input ends in.
+DANGLING = re.compile(r"</?[A-Za-z]")
+
+
 def parse(html: str) -> Tree:
+    """The tree of a page; a tag that the input ends in is no text and no element."""
     tree = Tree()
-    tree.feed(html)
+    end = DANGLING.search(html, html.rfind(">") + 1)
+    tree.feed(html[:end.start()] if end else html)
     tree.close()
     return tree
 
