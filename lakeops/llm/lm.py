@@ -45,8 +45,8 @@ RATE = 0.1
 BATCH = 4096
 #: Distinct words that a task counts before it hands its counts on.
 COUNTED = 300_000
-#: Positions that are scored at once.
-BLOCK = 1 << 15
+#: Words that are scored, or whose gradient is taken, at once.
+PART = 1 << 11
 
 
 def words_of(text: bytes) -> list[bytes]:
@@ -175,18 +175,26 @@ def forward(params: list[np.ndarray], row: np.ndarray, at: np.ndarray) -> tuple[
 
 
 def learn(params: list[np.ndarray], seen: list[np.ndarray], row: np.ndarray, at: np.ndarray) -> None:
-    """One Adagrad step on the words at these places."""
-    h, _, d, total = forward(params, row, at)
-    d /= (total * len(at))[:, None]
-    d[np.arange(len(at)), row[at]] -= 1.0 / len(at)
-    dh = (d @ params[2].T) * (1.0 - h * h)
-    # the sum of dh by neighbour's class, as a product with its one-hot rows
-    dt, rows = np.empty(SHAPES[0], np.float32), np.arange(len(at))
-    for k, place in enumerate(PLACES):
-        hot = np.zeros((len(at), CLASSES + 1), np.float32)
-        hot[rows, row[at + place]] = 1.0
-        dt[k] = hot.T @ dh
-    for p, g, s in zip(params, (dt, dh.sum(axis=0), h.T @ d, d.sum(axis=0)), seen, strict=True):
+    """One Adagrad step on the words at these places.  The gradient is summed
+    over parts of ``PART`` words, whose tables stay in the cache."""
+    grads = [np.zeros(shape, np.float32) for shape in SHAPES]
+    for i in range(0, len(at), PART):
+        part = at[i:i + PART]
+        h, _, d, total = forward(params, row, part)
+        d *= (1.0 / (total * len(at))).astype(np.float32)[:, None]
+        d[np.arange(len(part)), row[part]] -= 1.0 / len(at)
+        dh = d @ params[2].T
+        dh *= 1.0 - h * h
+        for k, place in enumerate(PLACES):
+            # the sum of dh by neighbour's class, in runs of equal classes
+            who = row[part + place]
+            order = np.argsort(who, kind="stable")
+            who = who[order]
+            runs = np.flatnonzero(np.concatenate(([True], who[1:] != who[:-1])))
+            grads[0][k][who[runs]] += np.add.reduceat(dh[order], runs, axis=0)
+        for g, more in zip(grads[1:], (dh.sum(axis=0), h.T @ d, d.sum(axis=0)), strict=True):
+            g += more
+    for p, g, s in zip(params, grads, seen, strict=True):
         s += g * g
         p -= RATE * g / (np.sqrt(s) + 1e-6)
 
@@ -259,8 +267,8 @@ def class_scores(classes: list[np.ndarray], params: list[np.ndarray]) -> list[fl
     row, at = line_up(classes)
     each = np.empty(len(at) + 1)
     each[0] = 0.0
-    for i in range(0, len(at), BLOCK):
-        part = at[i:i + BLOCK]
+    for i in range(0, len(at), PART):
+        part = at[i:i + PART]
         _, z, _, sums = forward(params, row, part)
         each[i + 1:i + 1 + len(part)] = z[np.arange(len(part)), row[part]] - np.log(sums)
     total, ends = np.cumsum(each), np.cumsum([0, *map(len, classes)])
