@@ -154,7 +154,7 @@ def q_load_orders(spark, sf):
 
 
 #: Keys of the stored items.
-_SQL_STORED_ITEMS = "(SELECT DISTINCT l_orderkey FROM lineitem WHERE l_orderkey % 5 = 0)"
+_SQL_STORED_ITEMS = "(SELECT DISTINCT CASE WHEN l_orderkey % 5 <> 0 THEN -1 - l_orderkey ELSE l_orderkey END FROM lineitem)"
 
 
 @query("load_items", f"""
@@ -165,7 +165,7 @@ WHERE l.l_orderkey IN (SELECT o_orderkey FROM {SQL_BATCH} b)
 def q_load_items(spark, sf):
     """C2 as one plan: items priced, then only those whose key is not stored."""
     t = R.tables(spark, sf)
-    stored = t.lineitem.filter("l_orderkey % 5 = 0").select("l_orderkey").distinct()
+    stored = R.moved(t.lineitem, "l_orderkey", F.col("l_orderkey") % 5 != 0).select("l_orderkey").distinct()
     return O.load_items(t.lineitem, R.orders_batch(t), R.products(t), stored, item_id="l_orderkey", order_id="o_orderkey",
                         product_id="p_partkey", price="p_retailprice", items_order_id="l_orderkey", items_product_id="l_partkey")
 
