@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from lakeops.functions.names import model_key, strip_prefixes
 from lakeops.functions.predicates import is_non_negative, is_not_nan, row_mean
 from lakeops.functions.time import zone_stamp
-from lakeops.operators import keyed, legs as L, profile as P
+from lakeops.operators import batches, bucketed, keyed, legs as L, profile as P
 from lakeops.plans import orders as O, roles as R
 from lakeops.session import scratch_path
 from lakeops.sinks import writers as W
@@ -189,6 +189,34 @@ def q_upsert(spark, sf):
     return spark.read.parquet(out)
 
 
+@query("replace_in_key_buckets", f"""
+SELECT * FROM {_SQL_OLD} o
+WHERE NOT EXISTS (SELECT 1 FROM {_SQL_NEW} n WHERE n.customer_id IS NOT DISTINCT FROM o.customer_id)
+UNION ALL SELECT * FROM {_SQL_NEW} n2""")
+def q_replace_in_buckets(spark, sf):
+    """K2 on a table in key buckets: only the buckets that the new summary's
+    keys fall into are read and rewritten."""
+    t = R.tables(spark, sf)
+    name, loc = f"lakeops_kb_{uuid.uuid4().hex[:8]}", scratch_path(spark, "bucketed")
+    bucketed.create_bucketed(rounded(R.summary_old(t), ["total_spent"], 2), name, "customer_id", 32, loc)
+    bucketed.replace_in_buckets(spark, name, rounded(R.summary_new(t), ["total_spent"], 2))
+    return bucketed.bucketed_rows(spark, name)
+
+
+@query("append_new_keys_once", f"""
+SELECT * FROM {SQL_STORED} s UNION ALL SELECT * FROM {_SQL_NEW_ORDERS} n""")
+def q_append_once(spark, sf):
+    """K1 by batches: the stored orders are one batch, the known customers'
+    orders another, which is loaded twice."""
+    t = R.tables(spark, sf)
+    path = scratch_path(spark, "orders_batches")
+    batches.append_batch(R.orders_stored(t), path, "stored")
+    new = keyed.semi_join(R.orders_batch(t), R.known_customers(t), "o_custkey", "c_custkey")
+    for _ in range(2):
+        batches.append_new_keys_once(new, path, "o_orderkey", "new")
+    return batches.committed_rows(spark, path, t.orders.schema)
+
+
 @query("upsert_report", f"""
 WITH s AS (SELECT DISTINCT customer_id FROM {_SQL_OLD} a),
      n AS (SELECT DISTINCT customer_id FROM {_SQL_NEW} b),
