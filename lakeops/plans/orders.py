@@ -10,7 +10,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lakeops.operators import keyed
+from lakeops.operators import batches, keyed
 from lakeops.session import scratch_path
 
 
@@ -71,9 +71,13 @@ def load_items(batch_items: DataFrame, orders: DataFrame, products: DataFrame,
 def run_orders_etl(spark, orders_csv: str, items_csv: str, *, orders_path: str,
                    items_path: str, customers: DataFrame, products: DataFrame,
                    summary_path: str, orders_schema, items_schema,
-                   cols: OrderCols = OrderCols(), dedupe: str = "error") -> dict:
+                   cols: OrderCols = OrderCols(), dedupe: str = "error", batch_id: str | None = None) -> dict:
     """The daily job: append new orders, append new items, replace the summary.
 
+    With a ``batch_id`` the two tables are kept by batch
+    (:mod:`lakeops.operators.batches`), so a run that died can be run again
+    under the same id and adds nothing twice; without one they are plain folders.
+
     Returns the three reports.  The summary is computed once; its table is
     written to a new folder beside the old one (staged replace) whose path is
     returned as ``summary_path``, and the old one can go once readers have
@@ -83,15 +87,19 @@ def run_orders_etl(spark, orders_csv: str, items_csv: str, *, orders_path: str,
 
     new_orders = read_csv(spark, orders_csv, orders_schema)
     known = keyed.semi_join(new_orders, customers, cols.customer_id, cols.customer_key)
-    r_orders = keyed.append_new_keys(known, orders_path, cols.order_id, dedupe=dedupe)
+    def add(rows: DataFrame, path: str, key: str) -> tuple[dict[str, int], DataFrame]:
+        if batch_id is None:
+            return keyed.append_new_keys(rows, path, key, dedupe=dedupe), spark.read.parquet(path)
+        return (batches.append_new_keys_once(rows, path, key, batch_id, dedupe),
+                batches.committed_rows(spark, path, rows.schema))
 
-    orders = spark.read.parquet(orders_path)
+    r_orders, orders = add(known, orders_path, cols.order_id)
     new_items = read_csv(spark, items_csv, items_schema)
     priced = priced_items(new_items, orders, products, order_id=cols.order_id)
-    r_items = keyed.append_new_keys(priced, items_path, "order_item_id", dedupe=dedupe)
+    r_items, _ = add(priced, items_path, "order_item_id")
 
     staged = scratch_path(spark, "summary")
-    customer_summary(spark.read.parquet(orders_path), customers, cols).write.parquet(staged)
+    customer_summary(orders, customers, cols).write.parquet(staged)
     summary = spark.read.parquet(staged)
     stored = spark.read.parquet(summary_path)
     rep = keyed.upsert_report(stored, summary, "customer_id").first().asDict()

@@ -174,3 +174,29 @@ def test_batches_without_rows_and_bad_ids(spark, tmp_path):
             B.append_batch(batch(spark, 1), path, bad)
     with pytest.raises(ValueError):
         B.append_new_keys_once(batch(spark, 1, 1), path, "k", "c")
+
+
+@pytest.mark.parametrize("call", [1, 2, 3, 4])
+def test_daily_job_after_a_crash(spark, tmp_path, monkeypatch, call):
+    """The orders job dies at each of its four writes and is run again."""
+    from lakeops.plans.orders import run_orders_etl
+    from lakeops.sinks.writers import write_csv
+    d = str(tmp_path)
+    customers = spark.createDataFrame([(1, "Ann"), (2, "Bob")], "customer_id long, customer_name string")
+    products = spark.createDataFrame([(10, 2.5)], "product_id long, price double")
+    orders, items = "order_id long, customer_id long, order_date date, total_amount double", "order_item_id long, order_id long, product_id long"
+    write_csv(spark.sql("SELECT id AS order_id, 1 + id % 3 AS customer_id, date'2025-06-01' AS order_date, 2.0D AS total_amount FROM range(9)"), f"{d}/o")
+    write_csv(spark.sql("SELECT id AS order_item_id, id % 9 AS order_id, 10L AS product_id FROM range(20)"), f"{d}/i")
+    spark.createDataFrame([], "customer_id long, customer_name string, total_orders long, total_spent double, last_order_date date").write.parquet(f"{d}/s")
+
+    def run():
+        return run_orders_etl(spark, f"{d}/o", f"{d}/i", orders_path=f"{d}/orders", items_path=f"{d}/items", customers=customers, products=products,
+                              summary_path=f"{d}/s", orders_schema=orders, items_schema=items, batch_id="2025-06-12")
+    crash_at(monkeypatch, B, "write_batch" if call % 2 else "write_marker", (call + 1) // 2)
+    with pytest.raises(Crash):
+        run()
+    monkeypatch.undo()
+    for _ in range(2):
+        rep = run()
+        assert rep["orders"]["n_added"] == 6 and rep["items"]["n_added"] == spark.read.parquet(f"{d}/items").count() == 14
+        assert rows(spark.read.parquet(rep["summary_path"]), "customer_id", "total_orders", "total_spent") == [(1, 3, 6.0), (2, 3, 6.0)]
