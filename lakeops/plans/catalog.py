@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from lakeops.functions.names import model_key, strip_prefixes
 from lakeops.functions.predicates import is_non_negative, is_not_nan, row_mean
 from lakeops.functions.time import zone_stamp
-from lakeops.operators import batches, bucketed, keyed, legs as L, profile as P
+from lakeops.operators import batches, bucketed, keyed, legs as L, lookup, profile as P
 from lakeops.plans import orders as O, roles as R
 from lakeops.session import scratch_path
 from lakeops.sinks import writers as W
@@ -233,6 +233,30 @@ def q_upsert_report(spark, sf):
     return keyed.upsert_report(R.summary_old(t), R.summary_new(t), "customer_id")
 
 
+def _stored_by_key(spark, rows, key: str) -> str:
+    name = f"lakeops_bk_{uuid.uuid4().hex[:8]}"
+    lookup.store_by_key(rows, name, key, 32, scratch_path(spark, "by_key"))
+    return name
+
+
+@query("stored_lookup_known", f"SELECT * FROM {SQL_BATCH} b WHERE b.o_custkey IN (SELECT c_custkey FROM {SQL_KNOWN} k)")
+def q_stored_lookup(spark, sf):
+    """The batch's orders of known customers; the customers lie in
+    buckets of their key and are not shuffled."""
+    t = R.tables(spark, sf)
+    return lookup.rows_with_stored_key(R.orders_batch(t), _stored_by_key(spark, R.known_customers(t), "c_custkey"), "o_custkey", "c_custkey")
+
+
+@query("stored_insert_new_keys", f"SELECT * FROM {SQL_STORED} s UNION ALL SELECT * FROM {SQL_BATCH} b WHERE b.o_orderkey NOT IN (SELECT o_orderkey FROM {SQL_STORED} s2)")
+def q_stored_insert(spark, sf):
+    """The batch's new keys are appended to the stored orders, which
+    lie in buckets of their key and are not shuffled."""
+    t = R.tables(spark, sf)
+    name = _stored_by_key(spark, R.orders_stored(t), "o_orderkey")
+    lookup.append_new_keys_stored(R.orders_batch(t), name, "o_orderkey")
+    return spark.table(name)
+
+
 # =============================================================== sources / sinks
 
 @query("table_scan", "SELECT * FROM lineitem")
