@@ -40,7 +40,7 @@ MIXED = -1.5
 
 # Fixed values of HTML: elements without end tag, without shown text, and blocks.
 VOID = frozenset("area base br col embed hr img input link meta source track wbr".split())
-HIDDEN = frozenset("head script style template noscript title svg math iframe object textarea select".split())
+HIDDEN = frozenset("head script style template noscript title iframe textarea select".split())
 BLOCK = frozenset(
     "address article aside blockquote body dd details dialog div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hgroup"
     " html li main menu nav ol p pre section summary table tbody td tfoot th thead tr ul option button legend".split())
@@ -48,6 +48,9 @@ BLOCK = frozenset(
 CLOSES = {"li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "tr": ("tr", "td", "th"), "td": ("td", "th"), "th": ("td", "th"), "option": ("option",)}
 SCOPE = frozenset("ul ol table dl body html article section div td select".split())
 
+#: Elements around the whole page.
+PAGE = frozenset("#page html body".split())
+
 TAGS = ("p", "h", "li", "a", "article main", "nav menu", "header", "footer", "aside", "form fieldset label button legend input",
         "div section td", "ul ol dl", "b i em strong span u small", "blockquote pre", "table tbody tr th", "figure figcaption")
 TOKENS = (
@@ -264,7 +267,8 @@ def decode(tree: Tree, raw: np.ndarray) -> list[bool]:
     """For every element whether its own text is main.
 
     Best sum of log-probabilities over the tree, where an element below a
-    main (boilerplate) one is main (boilerplate) too."""
+    main (boilerplate) one is main (boilerplate) too.  The page's own elements
+    are always mixed."""
     n = len(raw)
     main = (-np.logaddexp(0, -raw)).tolist()
     other = (-np.logaddexp(0, raw)).tolist()
@@ -272,8 +276,11 @@ def decode(tree: Tree, raw: np.ndarray) -> list[bool]:
     choice = [0] * n
     for i in range(n - 1, -1, -1):
         mixed = MIXED + best_below[i]
-        top = max(all_main[i], all_other[i], mixed)
-        choice[i] = 1 if top == all_main[i] else 2 if top == all_other[i] else 0
+        if tree.tag[i] in PAGE:
+            top = best_below[i]
+        else:
+            top = max(all_main[i], all_other[i], mixed)
+            choice[i] = 1 if top == all_main[i] else 2 if top == all_other[i] else 0
         if i:
             p = tree.parent[i]
             all_main[p] += all_main[i]
@@ -320,6 +327,62 @@ def _story(rng: random.Random) -> list[str]:
     return [rng.choice(SENTENCES)[:60], *(" ".join(rng.choices(SENTENCES, k=rng.randint(1, 7))) for _ in range(rng.randint(1, 12)))]
 
 
+def _block(text: str, shape: str) -> str:
+    """A paragraph of main text in one of the shapes that pages give it."""
+    words = text.split()
+    half = len(words) // 2
+    one, two = " ".join(words[:half]), " ".join(words[half:])
+    return {
+        "p": f"<p data-main>{text}</p>",
+        "open": f"<p data-main><b data-main>{text}<br>",
+        "div": f"<div data-main>{text}</div>",
+        "list": f"<ul data-main><li data-main>{one}</li><li data-main>{two}</li></ul>",
+        "items": f"<ul data-main><li data-main>{text}</li></ul>",
+        "quote": f"<blockquote data-main><p data-main>{text}</p></blockquote>",
+        "pre": f"<pre data-main>{text}</pre>",
+        "terms": f"<dl data-main><dt data-main>{' '.join(words[:2])}</dt><dd data-main>{' '.join(words[2:])}</dd></dl>",
+        "figure": f"<figure data-main><img src='x'><figcaption data-main>{' '.join(words[:20])}</figcaption></figure>",
+        "link": f"<p data-main><a href='/x' data-main>{' '.join(words[:20])}</a></p>",
+        "table": "<table data-main>" + "".join(
+            f"<tr data-main><{cell} data-main>{w}</{cell}><{cell} data-main>{v}</{cell}></tr>"
+            for cell, w, v in zip(("th", "td", "td", "td"), words[:4], words[4:8], strict=False)) + "</table>",
+    }[shape]
+
+
+#: Shapes of single paragraphs among others, and shapes that a whole story may have.
+AMONG = ("open", "div", "items", "list", "quote", "pre", "terms", "figure", "link", "table")
+WHOLE = ("p", "p", "p", "p", "p", "div", "items", "text")
+#: Elements around a story; an empty tag is none at all.
+AROUND = (("article", ""), ("article", "post"), ("main", ""), ("div", "content"), ("div", "article-body"), ("section", "story"), ("div", "entry text"),
+          ("div", ""), ("div", ""), ("section", ""), ("", ""), ("", ""))
+OUTER = ("", "", "wrapper", "container", "page", "row", "col")
+
+
+def _body(paragraphs: list[str], marked: bool, rng: random.Random) -> list[str]:
+    """The blocks of a story, in sections or not; ``marked`` if the element
+    around them is all main text, so that it may hold text of its own."""
+    shape = rng.choice(WHOLE)
+    if shape == "text":
+        joined = "<br><br>".join(paragraphs)
+        blocks = [joined if marked else f"<div data-main>{joined}</div>"]
+    else:
+        blocks = [_block(p, rng.choice(AMONG) if rng.random() < 0.25 else shape) for p in paragraphs]
+    title = paragraphs[0][:60]
+    level = rng.choice("11123")
+    head = f"<h{level} data-main>{title}</h{level}>"
+    if rng.random() < 0.15:
+        head = f"<header data-main>{head}</header>"
+    if rng.random() < 0.3:
+        tag, parts = rng.choice(("section", "div")), []
+        while blocks:
+            size = rng.randint(1, 4)
+            sub = f"<h2 data-main>{' '.join(rng.choice(paragraphs).split()[:rng.randint(1, 4)])}</h2>" if rng.random() < 0.6 else ""
+            parts.append(f"<{tag} data-main>{sub}{''.join(blocks[:size])}</{tag}>")
+            blocks = blocks[size:]
+        blocks = parts
+    return [head, *blocks]
+
+
 def _layouts(paragraphs: list[str], other: list[str], rng: random.Random) -> str:
     """A page around these paragraphs; elements of main text are marked by
     the attribute ``data-main``."""
@@ -335,22 +398,31 @@ def _layouts(paragraphs: list[str], other: list[str], rng: random.Random) -> str
     form = lambda: f"<form class='{rng.choice(['', 'search', 'newsletter', 'login'])}'><label>{esc(rng.choice(FILLER))}</label><input><p>{esc(rng.choice(other)[:80])}</p><button>Send</button></form>"
     said = lambda: box(rng.choice(["div", "section", "ol", "ul"]), rng.choice(["comments", "comment-list", "reader-comments", "replies"]), "".join(rng.choice(["<div class='comment'><b>{0}</b><p>{1}</p></div>", "<li><p>{1}</p></li>", "<article class='comment'><p>{1}</p></article>"]).format(esc(rng.choice(FILLER)), esc(rng.choice(other))) for _ in range(rng.randint(1, 4))))
     foot = lambda: rng.choice([f"<footer>&copy; {esc(rng.choice(FILLER))} &middot; {esc(rng.choice(other))}</footer>", box("div", rng.choice(["footer", "bottom legal"]), texts(2) + f"<ul>{links(4)}</ul>")])
-    body = [f"<h{rng.choice('11123')} data-main>{esc(paragraphs[0][:60])}</h1>"]
-    for p in paragraphs:
-        kind = rng.random()
-        body.append(f"<p data-main>{esc(p)}</p>" if kind < 0.7 else f"<p data-main><b data-main>{esc(p)}<br>" if kind < 0.85 else f"<ul data-main><li data-main>{esc(p)}</li></ul>" if kind < 0.92 else f"<blockquote data-main><p data-main>{esc(p)}</p></blockquote>")
-    inside = rng.random() < 0.4
-    if inside:
-        body.insert(rng.randint(1, len(body)), rng.choice([advert, side, form, notice])())
-    if rng.random() < 0.3:
-        body.append(said())
-        inside = True
-    tag, cls = rng.choice([("article", ""), ("article", "post"), ("main", ""), ("div", "content"), ("div", "article-body"), ("section", "story"), ("div", "entry text"), ("div", "")])
-    main = f"<{tag} class='{cls}'{'' if inside else ' data-main'}>{''.join(body)}</{tag}>"
+    paragraphs = [esc(p) for p in paragraphs]
+    tag, cls = rng.choice(AROUND)
+    within = [f() for f in (advert, side, form, notice, said) if rng.random() < 0.12]
+    body = _body(paragraphs, bool(tag) and not within, rng)
+    for extra in within:
+        body.insert(rng.randint(1, len(body)), extra)
+    main = "".join(body)
+    if tag:
+        main = f"<{tag} class='{cls}'{'' if within else ' data-main'}>{main}</{tag}>"
+    if tag == "article" and rng.random() < 0.3:
+        main = f"<main>{main}</main>"
     before = [f() for f in (menu, advert, notice, side, form) if rng.random() < 0.5]
     after = [f() for f in (side, said, advert, form, notice) if rng.random() < 0.4]
     rng.shuffle(before)
-    return f"<html><head><title>{esc(paragraphs[0])}</title></head><body>{''.join(before)}{main}{''.join(after)}{foot() if rng.random() < 0.8 else ''}</body></html>"
+    after.append(foot() if rng.random() < 0.8 else "")
+    kind = rng.random()
+    if kind < 0.07:
+        page = f"<table><tr><td>{''.join(before)}</td><td>{main}</td><td>{''.join(after)}</td></tr></table>"
+    else:
+        for _ in range(rng.choice((0, 0, 0, 1, 2)) if tag else 0):
+            main = box("div", rng.choice(OUTER), main)
+        page = f"{''.join(before)}{main}{''.join(after)}"
+        if kind < 0.2:
+            page = box("div", rng.choice(OUTER), page)
+    return f"<html><head><title>{paragraphs[0]}</title></head><body>{page}</body></html>"
 
 
 class Marked(Tree):
