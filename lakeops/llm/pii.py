@@ -94,7 +94,8 @@ SHAPES = bytes(97 if 97 <= c <= 122 or c > 127 else 65 if 65 <= c <= 90 else 57
 
 def features(shape: bytes, cue: str) -> list[str]:
     """What the field sees of a word, from its shape (letters as a or A,
-    digits as 9) and its name if it is a cue."""
+    digits as 9) and its name if it is a cue.  Counts are of the whole word; the
+    names ``pattern`` (repeats left out) and ``exact`` hold its first 24 signs."""
     s = shape.decode("latin-1")
     digits = s.count("9")
     out = ["bias", "digits=%d" % min(digits, 20), "pattern=" + re.sub(r"(.)\1+", r"\1", s)[:24], "all=%s" % (digits == len(s)),
@@ -193,15 +194,16 @@ class Scores(dict):
 
     def __init__(self, field: Field):
         super().__init__()
-        self.field, self.table = field, np.zeros((64, 3, len(LABELS)))
+        self.field, self.table, self.held = field, np.zeros((64, 3, len(LABELS))), 0
 
     def __missing__(self, key) -> int:
         n = len(self)
         if n == len(self.table):
             self.table = np.concatenate([self.table, np.zeros_like(self.table)])
         shape, cue = key if isinstance(key, tuple) else (key, "")
-        self.table[n] = self.field.weights[:, self.field.ids(shape[:64], cue)].sum(axis=1)
+        self.table[n] = self.field.weights[:, self.field.ids(shape, cue)].sum(axis=1)
         self[key] = n
+        self.held += len(shape)
         return n
 
 
@@ -215,7 +217,7 @@ class Decoder:
 
     def emissions(self, line: bytes) -> np.ndarray:
         """Scores (words, labels) of a line."""
-        if len(self.scores) > 200_000:                  # bounds the memory of a long task
+        if len(self.scores) > 200_000 or self.scores.held > 50_000_000:     # bounds the memory of a long task
             self.scores = Scores(self.field)
         shapes = line.translate(SHAPES).split()
         ids = list(map(self.scores.__getitem__, shapes))

@@ -494,6 +494,11 @@ def test_field_finds_what_patterns_miss():
 def test_addresses_with_long_numbers():
     long = "0" * 5000 + ".1.1.1"
     assert pii.base_spans(long) == [(0, 1, len(long))] and pii.base_spans("9" * 5000 + ".1.1.1") == []
+    far = pii.features(b"a" * 100 + b"@9.", "")                # what stands far behind counts too
+    assert {"@=1", "digits=1", "dots=1"} <= set(far) and "word" not in far
+    decoder = pii.Decoder(pii.trained())
+    alone = decoder.emissions(b"x " + b"a" * 100 + b"@9.")
+    assert not np.array_equal(alone, decoder.emissions(b"x " + b"a" * 100))
 
 
 def test_viterbi_equals_brute_force():
