@@ -22,7 +22,7 @@ from lakeops.operators import batches, bucketed, keyed, legs as L, lookup, profi
 from lakeops.plans import orders as O, roles as R
 from lakeops.session import scratch_path
 from lakeops.sinks import writers as W
-from lakeops.sources import files as S
+from lakeops.sources import files as S, inference as I
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, QueryFn] = {}
@@ -291,6 +291,64 @@ def q_csv_strings(spark, sf):
     return S.cast_to_schema(strings, cust.schema)
 
 
+#: Columns of a CSV file whose types are to be found, as SQL for both engines.
+_UNTYPED = {
+    "k": "CAST(o_orderkey AS {s})", "price": "CAST(o_totalprice AS {s})", "day": "CAST(CAST(o_orderdate AS DATE) AS {s})",
+    "stamp": "CAST(o_orderdate AS {s})", "priority": "o_orderpriority", "even": "CASE WHEN o_orderkey % 2 = 0 THEN 'true' ELSE 'false' END",
+    "mixed": "CASE WHEN o_custkey % 50 = 7 THEN 'n/a' ELSE CAST(o_custkey AS {s}) END",
+    "gaps": "CASE WHEN o_orderkey % 3 > 0 THEN CAST(o_custkey AS {s}) END",
+    "number": "CASE WHEN o_orderkey % 3 > 0 THEN CAST(o_custkey AS {s}) ELSE '0.5' END",
+    "moment": "CASE WHEN o_orderkey % 3 > 0 THEN CAST(CAST(o_orderdate AS DATE) AS {s}) ELSE CAST(o_orderdate AS {s}) END",
+    "nothing": "CAST(NULL AS {s})",
+}
+_TYPED = {"k": "BIGINT", "price": "DOUBLE", "stamp": "TIMESTAMP", "even": "BOOLEAN", "gaps": "BIGINT", "number": "DOUBLE", "moment": "TIMESTAMP"}
+
+
+def _sql_untyped(string: str) -> str:
+    return ", ".join(f"{x.format(s=string)} AS {c}" for c, x in _UNTYPED.items())
+
+
+def _sql_type_of(c: str) -> str:
+    forms = (("bigint", "BIGINT", r"[+-]?[0-9]+"), ("double", "DOUBLE", r"[+-]?[0-9]+([.][0-9]*)?([eE][+-]?[0-9]+)?"),
+             ("date", "DATE", r"[0-9]{4}-[0-9]{2}-[0-9]{2}"), ("timestamp_ntz", "TIMESTAMP", r"[0-9]{4}-[0-9]{2}-[0-9]{2}( [0-9]{2}:[0-9]{2}:[0-9]{2}([.][0-9]+)?)?"),
+             ("boolean", "BOOLEAN", "true|false"))
+    when = " ".join(f"WHEN bool_and({c} IS NULL OR (regexp_full_match({c}, '{form}') AND TRY_CAST({c} AS {t}) IS NOT NULL)) THEN '{name}'" for name, t, form in forms)
+    return f"""SELECT '{c}' AS "column", CASE WHEN count({c}) = 0 THEN 'string' {when} ELSE 'string' END AS type FROM u"""
+
+
+def _untyped_csv(spark, sf) -> str:
+    return W.write_csv(S.read_table(spark, sf, "orders").selectExpr(*[f"{x.format(s='STRING')} AS {c}" for c, x in _UNTYPED.items()]), scratch_path(spark, "untyped_csv"))
+
+
+@query("csv_inferred", f"SELECT {', '.join(f'CAST({c} AS {_TYPED[c]}) AS {c}' if c in _TYPED else c for c in _UNTYPED if c != 'day')}, datediff('day', DATE '1970-01-01', CAST(day AS DATE)) AS day FROM (SELECT {_sql_untyped('VARCHAR')} FROM orders) u")
+def q_csv_inferred(spark, sf):
+    """A CSV file of orders read with the types of its values (the date
+    as a day number)."""
+    return I.read_csv_inferred(spark, _untyped_csv(spark, sf)).withColumn("day", F.unix_date("day").cast("long"))
+
+
+@query("csv_inferred_schema", f"WITH u AS (SELECT {_sql_untyped('VARCHAR')} FROM orders) " + " UNION ALL ".join(map(_sql_type_of, _UNTYPED)))
+def q_csv_inferred_schema(spark, sf):
+    """The types found in a CSV file of orders."""
+    return I.inferred_types(S.read_csv_strings(spark, _untyped_csv(spark, sf))).drop("position")
+
+
+_SQL_LINES = """SELECT CASE WHEN o_orderkey % 13 = 0 THEN 'bad' WHEN o_orderkey % 17 = 0 THEN 'bad' ELSE 'good' END AS kind,
+  concat(o_orderkey, ',', CASE WHEN o_orderkey % 13 = 0 THEN 'x' ELSE '' END, o_custkey, CASE WHEN o_orderkey % 17 = 0 THEN ',1' ELSE '' END) AS text FROM orders"""
+
+
+@query("csv_bad_rows", _SQL_LINES)
+def q_csv_bad_rows(spark, sf):
+    """Lines with a value of the wrong type or one value too many are set
+    apart, the others are read."""
+    path, view = scratch_path(spark, "lines"), f"lakeops_v_{uuid.uuid4().hex[:8]}"
+    S.read_table(spark, sf, "orders").createOrReplaceTempView(view)
+    spark.sql(_SQL_LINES.replace("FROM orders", f"FROM {view}")).select("text").write.text(path)
+    spark.catalog.dropTempView(view)
+    good, bad = I.read_csv_apart(spark, path, "k long, c long", header=False)
+    return good.select(F.lit("good").alias("kind"), F.concat_ws(",", "k", "c").alias("text")).union(bad.select(F.lit("bad"), "text"))
+
+
 @query("create_insert_drop", "SELECT c_name AS name, CAST(c_nationkey AS INTEGER) AS value FROM customer")
 def q_create_insert_drop(spark, sf):
     """K7: create a typed table, insert from a query, read it back, drop it
@@ -363,6 +421,20 @@ def q_ctas_sorted(spark, sf):
     return out.select("c_custkey", "c_name", "c_nationkey", F.lit(kind).alias("kind"), F.coalesce(before <= key, F.lit(True)).alias("sorted"))
 
 
+@query("clustered_write", """
+SELECT l_partkey, count(*) AS n_rows, sum(l_linenumber) AS lines, TRUE AS one_range
+FROM lineitem GROUP BY l_partkey""")
+def q_clustered_write(spark, sf):
+    """O3: lineitem written in key order; per part its rows, and whether
+    the files' key ranges overlap in their ends alone."""
+    path = W.write_clustered(S.read_table(spark, sf, "lineitem"), scratch_path(spark, "clustered"), ["l_partkey"], 16)
+    rows = spark.read.parquet(path).select("l_partkey", "l_linenumber", F.col("_metadata.file_path").alias("file"))
+    ends = rows.groupBy("file").agg(F.min("l_partkey").alias("first"), F.max("l_partkey").alias("last"))
+    before = F.lag("last").over(Window.orderBy("first", "last"))        # a row per file
+    apart = ends.select(F.coalesce(before <= F.col("first"), F.lit(True)).alias("apart")).agg(F.every("apart").alias("one_range")).first()[0]
+    return rows.groupBy("l_partkey").agg(F.count(F.lit(1)).alias("n_rows"), F.sum("l_linenumber").alias("lines")).withColumn("one_range", F.lit(apart))
+
+
 # =============================================================== filters, scalars
 
 @query("filter_threshold", "SELECT * FROM orders WHERE o_orderkey > 3102")

@@ -1,8 +1,8 @@
 """File and catalog sources.
 
-* CSV is always read with an explicit schema (or read as strings and cast
-  explicitly): schema inference costs a full extra pass over the data and
-  gives types that change with the content.
+* CSV is read with an explicit schema (or as strings, cast explicitly).  Types
+  found in the values, which cost a full extra pass, and rows that do not parse
+  are in :mod:`lakeops.sources.inference`.
 * Parquet scans are lazy; column pruning and filter pushdown happen when
   later ``select``/``filter`` calls are planned, so a key scan reads one
   column (``ReadSchema`` in ``explain``).
