@@ -422,7 +422,7 @@ def q_ctas_sorted(spark, sf):
 
 
 @query("clustered_write", """
-SELECT l_partkey, count(*) AS n_rows, sum(l_linenumber) AS lines, TRUE AS one_range
+SELECT l_partkey, count(*) AS n_rows, CAST(sum(l_linenumber) AS BIGINT) AS lines, TRUE AS one_range
 FROM lineitem GROUP BY l_partkey""")
 def q_clustered_write(spark, sf):
     """O3: lineitem written in key order; per part its rows, and whether
