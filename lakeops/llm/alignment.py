@@ -25,6 +25,7 @@ from __future__ import annotations
 
 import hashlib
 import os
+import re
 from collections.abc import Iterator
 from functools import lru_cache
 from itertools import chain
@@ -35,10 +36,13 @@ import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 
+from lakeops.llm import packing
 from lakeops.llm.common import stage_table
 
 #: The two vocabularies: their names in ``public_tokenizers``.
 VOCABULARY_A, VOCABULARY_B = "byte_bpe_50k.json", "piece_bpe_32k.model"
+#: A run that the library by ranks is slow or recursive on: the other encodes its text.
+LONG_RUN = re.compile(r"\s{2000}|\S{2000}")
 #: Bytes of text in an Arrow table (a longer text is a table of its own).
 PORTION = 1 << 20
 
@@ -74,8 +78,11 @@ def piece_bytes(piece: str) -> bytes:
 
 
 @lru_cache(maxsize=2)
-def encoder_a(file: str):
-    """``(texts -> ids, bytes of every id)``; special tokens' strings are text."""
+def encoder_a(file: str, ranks: str | None = None):
+    """``(texts -> ids, bytes of every id)``; special tokens' strings are text.
+
+    With ``ranks``, the same vocabulary by ranks, its library encodes: the same
+    ids at a third of the time, but for texts with a ``LONG_RUN``."""
     from tokenizers import Tokenizer
 
     os.environ["TOKENIZERS_PARALLELISM"] = "false"      # a task has one core
@@ -86,7 +93,14 @@ def encoder_a(file: str):
     for token, i in model.get_vocab().items():
         known = all(c in letters for c in token)
         table[i] = bytes(letters[c] for c in token) if known else token.encode()
-    return lambda texts: [e.ids for e in model.encode_batch_fast(texts, add_special_tokens=False)], table
+
+    def encode(texts: list[str]) -> list[list[int]]:
+        return [e.ids for e in model.encode_batch_fast(texts, add_special_tokens=False)]
+
+    if not ranks:
+        return encode, table
+    quick = packing.tokenizer(ranks)
+    return lambda texts: [encode([t])[0] if LONG_RUN.search(t) else quick.encode_ordinary(t) for t in texts], table
 
 
 @lru_cache(maxsize=2)
@@ -150,7 +164,8 @@ def align(texts: list[str | None], file_a: str, file_b: str) -> tuple[list[tuple
     """One portion: ``(n_a, n_b, n_groups, groups)`` of every text, each
     text's links as places in the table of pairs, and that table
     ``(a, b, n)``."""
-    (encode_a, bytes_a), (encode_b, bytes_b) = encoder_a(file_a), encoder_b(file_b)
+    ranks = path(packing.VOCABULARY) if file_a == path(VOCABULARY_A) else None
+    (encode_a, bytes_a), (encode_b, bytes_b) = encoder_a(file_a, ranks), encoder_b(file_b)
     word_a, word_b = (pa.array(t, pa.large_binary()) for t in (bytes_a, bytes_b))
     given = [t or "" for t in texts]
     ids_a, ids_b = lists(encode_a([" " + t for t in given])), lists(encode_b(given))

@@ -8,7 +8,7 @@ import pytest
 import sentencepiece
 from tokenizers import Tokenizer
 
-from lakeops.llm import alignment, queries
+from lakeops.llm import alignment, packing, queries
 
 SF = "/root/testdata/sf0.001"
 
@@ -88,3 +88,17 @@ def test_pairs_of_the_corpus(spark):
     scored, pairs = alignment.token_alignment(frame)
     links = scored.agg({"n_links": "sum"}).first()[0]
     assert pairs.agg({"count": "sum"}).first()[0] == links and all(r["count"] % 7 == 0 and r.best for r in pairs.collect())
+
+
+def test_ids_by_ranks(monkeypatch):
+    """The library by ranks is the one that encodes, with the other's ids;
+    runs that are too long for it go to the other."""
+    file, ranks = alignment.path(alignment.VOCABULARY_A), alignment.path(packing.VOCABULARY)
+    texts = [" ", " <|endoftext|> <s>", " it's I'LL 'S 1234567 ½", " é é ☃😀 ﬁ Ⅳ \u00a0\u3000\u2028\u0085x", "  two  spaces \t\n\r\n ", " 日本語のテキスト", " \x00\x01",
+             " " * 3000 + "x", " " + "ab" * 1500, *(" " + t for t in pd.read_parquet(f"{SF}/documents.parquet").text.fillna("")[:300])]
+    (slow_ids, table), (quick_ids, same) = alignment.encoder_a(file), alignment.encoder_a(file, ranks)
+    assert quick_ids(texts) == slow_ids(texts) and table == same
+    asked = []
+    monkeypatch.setattr(alignment, "encoder_a", lambda *files: asked.append(files) or (quick_ids, table))
+    alignment.align(["a text"], file, alignment.path(alignment.VOCABULARY_B))
+    assert asked == [(file, ranks)]
