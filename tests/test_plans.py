@@ -3,6 +3,8 @@
 import contextlib
 import io
 
+import pytest
+
 import __spark_entry__ as entry
 from conftest import SF_SMALL
 
@@ -47,3 +49,29 @@ def test_no_python_udfs_anywhere(spark):
     for name in ("yeo_johnson_apply", "stratified_split", "metrics_by_group", "legs_costs_result"):
         p = plan(entry.queries()[name](spark, SF_SMALL), "simple")
         assert "BatchEvalPython" not in p and "ArrowEvalPython" not in p
+
+
+def below_exchanges(df, key: str) -> list[str]:
+    """The part of the plan below each exchange by ``key``."""
+    lines, found = plan(df, "simple").splitlines(), []
+    for i, line in enumerate(lines):
+        if f"Exchange hashpartitioning({key}#" in line:
+            depth = line.index("Exchange")
+            end = next((j for j in range(i + 1, len(lines)) if len(lines[j]) - len(lines[j].lstrip(" :+-")) <= depth), len(lines))
+            found.append("\n".join(lines[i + 1:end]))
+    return found
+
+
+@pytest.fixture
+def no_broadcast(spark):
+    key = "spark.sql.autoBroadcastJoinThreshold"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "-1")
+    yield
+    spark.conf.set(key, before)
+
+
+def test_legs_do_not_move_by_customer(spark, no_broadcast):
+    """Orders meet their customers before they meet the legs."""
+    by_customer = below_exchanges(entry.queries()["legs_costs_result"](spark, SF_SMALL), "o_custkey")
+    assert by_customer and not any("l_extendedprice" in p for p in by_customer)
