@@ -75,3 +75,11 @@ def test_legs_do_not_move_by_customer(spark, no_broadcast):
     """Orders meet their customers before they meet the legs."""
     by_customer = below_exchanges(entry.queries()["legs_costs_result"](spark, SF_SMALL), "o_custkey")
     assert by_customer and not any("l_extendedprice" in p for p in by_customer)
+
+
+def test_load_items_prices_new_items_alone(spark, no_broadcast):
+    """One shuffle of the items by order for both key tests, then one of the new ones by product."""
+    df = entry.queries()["load_items"](spark, SF_SMALL)
+    assert sum("l_extendedprice" in p for p in below_exchanges(df, "l_orderkey")) == 1
+    by_product = below_exchanges(df, "l_partkey")
+    assert len(by_product) == 1 and "LeftAnti" in by_product[0]
