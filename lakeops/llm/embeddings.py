@@ -11,37 +11,54 @@ finds every pair.
 Range join of a block: a grid over its first ``GRID`` coordinates, of cells
 twice the radius wide.  A vector stands in its home cell and visits the cells
 behind it (in the order of their coordinates) that its radius reaches; a pair
-then meets in exactly one cell, as both at home or as visitor and host.  Cells
-are compared in numpy, rows of a cell over ``CHUNK`` in chunks against
-chunks, so a task's memory is bounded whatever the size of a cell.
+then meets in exactly one cell, as both at home or as visitor and host.
+
+The distinct vectors are written once, in pages of up to ``CHUNK`` of one
+length, and every two pages meet in a Cartesian product of the written table
+with itself, whose tasks read the pages again: no vector is shuffled to its
+cells or written twice, whatever the number of blocks and the size of a cell.
+The range joins of two pages run in numpy, ``STEP`` rows of a cell at a time,
+so a task's memory is bounded.
 
 A pair that passes several budgets is taken in the first such block alone,
 which each task can tell from the two vectors.  So nothing has to be made
-distinct: a task verifies the cosine, and sends per vector the number of its
-links and one link of a spanning forest -- a row per vector, not per pair.
-Equal vectors are one vector with a count from the start.
+distinct: a task verifies the cosine, and sends per vector of two pages the
+number of its links and one link of a spanning forest -- a row per vector, not
+per pair.  Equal vectors are one vector with a count from the start.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from dataclasses import dataclass
 from functools import lru_cache
 from itertools import product
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 
 from lakeops.llm.common import arrow_batch, stage_table
 from lakeops.llm.components import connected_components
+from lakeops.session import scratch_path
 
 COSINE = 0.95
 #: Dimensions of a block, and of those the ones that the cells divide.
 BLOCK, GRID = 8, 3
 #: Seed of the rotation.
 SEED = 12
-#: Rows of a cell that one task compares at once, and rows of a step in it.
+#: Rows of a page at most, and rows of a cell that are compared at once.
 CHUNK, STEP = 4096, 256
+#: Bytes of a page's vectors at most, and of the unit vectors that a task keeps.
+PAGE_BYTES, KEPT_BYTES = 8 << 20, 96 << 20
+#: Pages of a file: its reader holds them all.
+PAGES = 16
+#: Numbers kept for the rows of a page.
+ROWS = 1 << 16
+#: Budgets above this are tried in single precision first; over them, so much
+#: is let through to be looked at in double precision.
+ROUGH, ROUGHLY = 1e-4, 1e-5
 #: Slack of budgets and cells over the last digits of a double.
 SLACK = 1e-9
 
@@ -108,41 +125,54 @@ def _matrix(column: pa.Array) -> np.ndarray:
     return column.flatten().to_numpy(zero_copy_only=False).reshape(n, -1) if n else np.empty((0, 0))
 
 
-def placed(classes: DataFrame, cosine: float, carry: list[str]) -> DataFrame:
-    """Rows ``(dims, block, cell, home)`` with the columns ``carry`` of each
-    class, in its home and visited cells of every block."""
-    fields = [("dims", pa.int32()), ("block", pa.int32()), ("cell", pa.binary()), ("home", pa.bool_())]
-    kinds = dict(classes.dtypes)
-    ddl = ", ".join(["dims int, block int, cell binary, home boolean", *[f"{c} {kinds[c]}" for c in carry]])
+def pages(classes: DataFrame) -> DataFrame:
+    """``(page, dims, copies, smallest, key_a, key_b, vectors)``: the classes
+    in pages of up to ``CHUNK`` of one length; lists, and the vectors' bytes."""
+    single, most = dict(classes.dtypes)["vector"] == "array<float>", min(CHUNK, ROWS)
+    kind = np.dtype(np.float32 if single else np.float64)
+    lists = ["copies", "smallest", "key_a", "key_b"]
+    out = pa.schema([("page", pa.int64()), ("dims", pa.int32()), *[(c, pa.list_(pa.int64())) for c in lists], ("vectors", pa.binary())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        first, made, waiting = TaskContext.get().partitionId() << 24, 0, {}
+
+        def full(dims: int) -> int:
+            return max(1, min(most, PAGE_BYTES // (dims * kind.itemsize)))
+
+        def take(dims: int, n: int) -> pa.RecordBatch:
+            nonlocal made
+            rows = pa.Table.from_batches(waiting.pop(dims)).combine_chunks()
+            if rows.num_rows > n:
+                waiting[dims] = rows.slice(n).to_batches()
+            rows, made = rows.slice(0, n), made + 1
+            values = _matrix(rows.column("vector").combine_chunks())
+            return arrow_batch(out, [[first + made], [dims], *[[rows.column(c).to_pylist()] for c in lists], [values.astype(kind).tobytes()]])
+
         for b in batches:
             lengths = b.column("vector").value_lengths().to_numpy()
             for dims in np.unique(lengths).tolist():
-                some = b.take(pa.array(np.flatnonzero(lengths == dims)))
-                turned = rotate(unit(_matrix(some.column("vector"))), rotation(dims))
-                for k, (block, budget) in enumerate(zip(blocks(dims), budgets(dims, cosine), strict=True)):
-                    for rows, cell, home in cells(turned, block, budget):
-                        picked, n = some.take(pa.array(rows)), len(rows)
-                        keys = [c.tobytes() for c in cell.astype(">i8")]
-                        out = pa.schema([*fields, *[(c, picked.column(c).type) for c in carry]])
-                        yield arrow_batch(out, [pa.array(np.full(n, dims, np.int32)), pa.array(np.full(n, k, np.int32)), keys, pa.array(np.full(n, home)),
-                                                *[picked.column(c) for c in carry]])
+                waiting.setdefault(dims, []).append(b.take(pa.array(np.flatnonzero(lengths == dims))))
+                while sum(x.num_rows for x in waiting.get(dims, [])) >= full(dims):
+                    yield take(dims, full(dims))
+        for dims in list(waiting):
+            yield take(dims, full(dims))
 
-    return classes.mapInArrow(run, ddl)
+    return classes.select("vector", *lists).mapInArrow(run, "page long, dims int, copies array<long>, smallest array<long>, key_a array<long>, key_b array<long>, vectors binary")
 
 
-def forest(n: int, a: np.ndarray, b: np.ndarray, label: np.ndarray) -> np.ndarray:
-    """Smallest label reachable over links a-b, given the labels so far."""
+def forest(a: np.ndarray, b: np.ndarray, label: np.ndarray) -> np.ndarray:
+    """Smallest label reachable over links a-b, given the labels so far, each
+    of which is its own label.  Only these are lowered: a row keeps to those
+    that it was joined with before."""
     while True:
-        low = np.minimum(label[a], label[b])
-        before = label.copy()
-        for side in (a, b):
-            np.minimum.at(label, label[side], low)
-            np.minimum.at(label, side, low)
-        label = label[label]
-        if (label == before).all():
+        x, y = label[a], label[b]
+        if (x == y).all():
             return label
+        label = label.copy()
+        for side in (x, y):
+            np.minimum.at(label, side, np.minimum(x, y))
+        while (label[label] != label).any():
+            label = label[label]
 
 
 def _first_is(k: int, x: np.ndarray, y: np.ndarray, limits: np.ndarray) -> np.ndarray:
@@ -153,55 +183,147 @@ def _first_is(k: int, x: np.ndarray, y: np.ndarray, limits: np.ndarray) -> np.nd
     return within[:, k] & (within.argmax(axis=1) == k)
 
 
-def _compare(cosine: float):
-    """Links of one cell (or of two of its chunks): ``(cid, links, other)``,
-    ``links`` counted with copies, ``other`` a class of the same component."""
-    import pandas as pd
-
-    def run(key, rows: pd.DataFrame) -> pd.DataFrame:
-        k, within = int(rows["block"].iloc[0]), bool(rows["within"].iloc[0])
-        rows = pd.concat([rows[~rows["as_host"]], rows[rows["as_host"]]])
-        host = rows["as_host"].to_numpy()
-        units = unit(np.stack(rows["vector"].to_numpy()))
-        dims = units.shape[1]
-        turned, limits, block = rotate(units, rotation(dims)), budgets(dims, cosine), blocks(dims)[k]
-        cid, copies = rows["cid"].to_numpy(), rows["copies"].to_numpy()
-        first = 0 if within else int((~host).sum())
+def by_cell(rows: np.ndarray, cell: np.ndarray) -> dict[bytes, np.ndarray]:
+    """The rows of every cell."""
+    order = np.lexsort(cell.T[::-1])
+    rows, cell = rows[order], cell[order]
+    ends = np.flatnonzero(np.any(cell[1:] != cell[:-1], axis=1)) + 1
+    starts = [0, *ends.tolist()] if len(rows) else []
+    return {cell[at].tobytes(): rows[at:to] for at, to in zip(starts, [*ends.tolist(), len(rows)], strict=False)}
+
+
+@dataclass
+class Page:
+    """The vectors of a page, rotated, and their places in every block."""
+    cid: np.ndarray
+    copies: np.ndarray
+    units: np.ndarray
+    turned: np.ndarray
+    left: list[np.ndarray]                        # rows of a block and of the other page's ``right``
+    right: list[np.ndarray]                       # multiply to squared distances
+    homes: list[dict[bytes, np.ndarray]]          # rows by home cell
+    visits: list[dict[bytes, np.ndarray]]         # rows by visited cell
+    places: list[dict[bytes, np.ndarray]]         # both
+
+
+def read_page(number: int, values: np.ndarray, copies: np.ndarray, cosine: float) -> Page:
+    units = unit(values)
+    dims = units.shape[1]
+    turned = units @ rotation(dims)
+    page = Page(number * ROWS + np.arange(len(units)), copies, units, turned, [], [], [], [], [])
+    for block, budget in zip(blocks(dims), budgets(dims, cosine), strict=True):
         sub = turned[:, block]
-        size = np.einsum("ij,ij->i", sub, sub)
-        links, label = np.zeros(len(rows), np.int64), np.arange(len(rows))
-        for at in range(0, len(rows) if within else first, STEP):
-            to = min(at + STEP, len(rows) if within else first)
-            # among themselves, rows meet those after them
-            start = at + 1 if within else first
-            apart = size[at:to, None] + size[None, start:] - 2 * (sub[at:to] @ sub[start:].T)
-            a, b = np.nonzero(apart <= limits[k] + 1e-12)
-            a, b = a + at, b + start
-            if within:
-                a, b = a[a < b], b[a < b]
-            for part in range(0, len(a), 1 << 16):
-                x, y = a[part:part + (1 << 16)], b[part:part + (1 << 16)]
-                here = _first_is(k, turned[x], turned[y], limits)
-                x, y = x[here], y[here]
-                linked = np.einsum("ij,ij->i", units[x], units[y]) >= cosine
-                x, y = x[linked], y[linked]
-                if len(x):
-                    np.add.at(links, x, copies[y])
-                    np.add.at(links, y, copies[x])
-                    label = forest(len(rows), x, y, label)
-        some = np.flatnonzero(links)
-        return pd.DataFrame({"cid": cid[some], "links": links[some], "other": cid[label[some]]})
-
-    return run
+        size, one = np.einsum("ij,ij->i", sub, sub)[:, None], np.ones((len(sub), 1))
+        kind = np.float32 if budget > ROUGH else np.float64
+        page.left.append(np.hstack([sub, size, one]).astype(kind))
+        page.right.append(np.hstack([-2 * sub, one, size]).astype(kind))
+        (rows, home, _), *visited = cells(turned, block, budget)
+        page.homes.append(by_cell(rows, home))
+        behind = [np.concatenate([v[i] for v in visited] or [x[:0]]) for i, x in enumerate((rows, home))]
+        page.visits.append(by_cell(*behind))
+        page.places.append(by_cell(np.concatenate([rows, behind[0]]), np.concatenate([home, behind[1]])))
+    return page
+
+
+def meetings(a: Page, b: Page, k: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Rows of two pages (or of one) that stand in one cell of block ``k`` as
+    both at home or as visitor and host."""
+    for cell, hosts in b.homes[k].items():
+        for guests in ([hosts, a.visits[k].get(cell)] if a is b else [a.places[k].get(cell)]):
+            if guests is not None:
+                yield guests, hosts
+    if a is not b:
+        for cell, guests in b.visits[k].items():
+            if cell in a.homes[k]:
+                yield a.homes[k][cell], guests
+
+
+def page_links(a: Page, b: Page, cosine: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """``(cid, links, other)`` of the rows of two pages, or of one with itself:
+    ``links`` counted with copies, ``other`` a class of the same component."""
+    dims = a.units.shape[1]
+    limits, split, edge = budgets(dims, cosine), blocks(dims), 1e-12 + 4e-16 * dims
+    shift = 0 if a is b else len(a.cid)
+    cid, copies = (a.cid, a.copies) if a is b else (np.concatenate([a.cid, b.cid]), np.concatenate([a.copies, b.copies]))
+    links, label = np.zeros(len(cid)), np.arange(len(cid))
+    found: list[tuple[np.ndarray, np.ndarray]] = []
+
+    def apart(k: int, x: np.ndarray, y: np.ndarray) -> np.ndarray:
+        u, v = a.turned[x, split[k]], b.turned[y, split[k]]
+        return np.einsum("ij,ij->i", u, u)[:, None] + np.einsum("ij,ij->i", v, v) - 2 * (u @ v.T)
+
+    def verified(k: int, x: np.ndarray, y: np.ndarray) -> None:
+        for at in range(0, len(x), 1 << 16):
+            i, j = x[at:at + (1 << 16)], y[at:at + (1 << 16)]
+            here = _first_is(k, a.turned[i], b.turned[j], limits)
+            i, j = i[here], j[here]
+            linked = np.einsum("ij,ij->i", a.units[i], b.units[j]) >= cosine
+            if linked.any():
+                found.append((i[linked], j[linked] + shift))
+
+    def crowded(k: int, x: np.ndarray, y: np.ndarray, near: np.ndarray) -> np.ndarray:
+        """Takes the links of a dense ``near`` in whole matrices but for those
+        within the last digits of a limit, which it returns."""
+        nonlocal links, label
+        here = apart(k, x, y)
+        near, unsure = near & (here <= limits[k] + edge), np.abs(here - limits[k]) <= edge
+        for e in range(k):
+            there = apart(e, x, y)
+            near = near & (there >= limits[e] - edge)
+            unsure |= there <= limits[e] + edge
+        if np.count_nonzero(near) <= near.size >> 3:
+            return near
+        like = a.units[x] @ b.units[y].T
+        unsure |= np.abs(like - cosine) <= edge
+        sure = near & ~unsure & (like >= cosine)
+        mine, theirs = x, y + shift
+        links[mine] += sure @ copies[theirs].astype(np.float64)
+        links[theirs] += copies[mine].astype(np.float64) @ sure
+        while True:                               # one link a row between parts that are not yet joined
+            new = sure & (label[mine][:, None] != label[theirs][None, :])
+            rows = np.flatnonzero(new.any(axis=1))
+            if not len(rows):
+                return near & unsure
+            label = forest(mine[rows], theirs[new[rows].argmax(axis=1)], label)
+
+    for k, limit in enumerate(limits):
+        most, some = limit + (ROUGHLY if limit > ROUGH else edge), []
+        for guests, hosts in meetings(a, b, k):
+            right = b.right[k][hosts].T
+            for at in range(0, len(guests), STEP):
+                x = guests[at:at + STEP]
+                near = a.left[k][x] @ right <= most
+                if guests is hosts:               # among themselves, rows meet those after them
+                    near &= x[:, None] < hosts[None, :]
+                if np.count_nonzero(near) > max(1 << 10, near.size >> 3):
+                    near = crowded(k, x, hosts, near)
+                i, j = np.divmod(np.flatnonzero(near), len(hosts))
+                some.append((x[i], hosts[j]))
+        verified(k, *[np.concatenate(side) for side in zip(*some, strict=True)] if some else 2 * [np.arange(0)])
+    if found:
+        x, y = [np.concatenate(side) for side in zip(*found, strict=True)]
+        links += np.bincount(x, copies[y], len(cid)) + np.bincount(y, copies[x], len(cid))
+        label = forest(x, y, label)
+    some = np.flatnonzero(links)
+    return cid[some], links[some].astype(np.int64), cid[label[some]]
 
 
 def vector_classes(vectors: DataFrame) -> DataFrame:
-    """``(cid, vector, copies, smallest)``: the distinct vectors that can link
-    -- not null, not empty, without null or non-finite components, not all
-    zero -- with their number of rows and smallest id."""
+    """The :func:`pages` of the distinct vectors that can link -- not null, not
+    empty, without null or non-finite components, not all zero -- with their
+    number of rows, smallest id and key."""
     rows = ids_and_vectors(vectors).filter(usable(F.col("vector")))
     classes = rows.groupBy("vector").agg(F.count(F.lit(1)).alias("copies"), F.min("vec_id").alias("smallest"))
-    return stage_table(classes.withColumn("cid", F.monotonically_increasing_id()), "embed-classes")
+    classes = classes.select("*", *keys(F.col("vector"))).coalesce(vectors.sparkSession.sparkContext.defaultParallelism)
+    path = scratch_path(vectors.sparkSession, "embed-pages")
+    staged = pages(classes)
+    staged.write.option("maxRecordsPerFile", PAGES).parquet(path)
+    return vectors.sparkSession.read.schema(staged.schema).parquet(path)
+
+
+def keys(vector) -> list:
+    """128 bits of hashes that stand for a vector in joins."""
+    return [F.xxhash64(vector).alias("key_a"), F.xxhash64(F.lit(SEED), vector).alias("key_b")]
 
 
 def ids_and_vectors(vectors: DataFrame) -> DataFrame:
@@ -217,28 +339,38 @@ def usable(vector):
     return vector.isNotNull() & (F.size(vector) > 0) & finite & F.exists(vector, lambda x: x != 0)
 
 
-def links(classes: DataFrame, cosine: float = COSINE) -> DataFrame:
+def links(paged: DataFrame, cosine: float = COSINE) -> DataFrame:
     """``(cid, links, other)``: parts of each class's number of linked vectors
     in other classes, and links whose components are those of all links."""
-    cell = ["dims", "block", "cell"]
-    # only cells of more than one chunk are looked up, at most one in CHUNK rows
-    sizes = placed(classes, cosine, []).groupBy(*cell).agg(*[F.greatest(F.lit(1), F.ceil(F.count_if(c) / CHUNK)).cast("int").alias(n) for n, c in (("hosts", F.col("home")), ("visits", ~F.col("home")))])
-    sizes = stage_table(sizes.filter("hosts > 1 OR visits > 1"), "embed-sizes")
-    rows = placed(classes, cosine, ["cid", "copies", "vector"]).join(sizes, cell, "left").fillna(1, ["hosts", "visits"])
-    part = F.pmod(F.xxhash64("cid"), F.when(F.col("home"), F.col("hosts")).otherwise(F.col("visits"))).cast("int")
-    rows = rows.withColumn("part", part)
-    # one row for each pair of chunks that a row's chunk is in: (left, right) of
-    # the hosts among themselves, or (visitor chunk, host chunk)
-    among = F.transform(F.sequence(F.lit(0), F.col("hosts") - 1), lambda j: F.struct(
-        F.lit(True).alias("own"), F.least("part", j).alias("left"), F.greatest("part", j).alias("right"),
-        (F.col("part") >= j).alias("as_host"), (F.col("part") == j).alias("within")))
-    hosting = F.transform(F.sequence(F.lit(0), F.col("visits") - 1), lambda j: F.struct(
-        F.lit(False).alias("own"), j.alias("left"), F.col("part").alias("right"), F.lit(True).alias("as_host"), F.lit(False).alias("within")))
-    visiting = F.transform(F.sequence(F.lit(0), F.col("hosts") - 1), lambda j: F.struct(
-        F.lit(False).alias("own"), F.col("part").alias("left"), j.alias("right"), F.lit(False).alias("as_host"), F.lit(False).alias("within")))
-    meets = F.when(F.col("home"), F.concat(among, hosting)).otherwise(visiting)
-    rows = rows.select(*cell, "cid", "copies", "vector", F.inline(meets))
-    return rows.groupBy(*cell, "own", "left", "right").applyInPandas(_compare(cosine), "cid long, links long, other long")
+    sides = [paged.select(*[F.col(c).alias(f"{side}_{c}") for c in ("page", "dims", "copies", "vectors")]) for side in "ab"]
+    # a Cartesian product, whatever the table's size: both sides are read where
+    # they are; the dimensions are no join key, as one of them may have all rows
+    even = (F.col("a_page") + F.col("b_page")) % 2 == 0
+    once = F.when(even, F.col("a_page") <= F.col("b_page")).otherwise(F.col("a_page") > F.col("b_page"))
+    pairs = sides[0].hint("shuffle_replicate_nl").crossJoin(sides[1]).filter(once & (F.col("a_dims") - F.col("b_dims") == 0))
+    out = pa.schema([("cid", pa.int64()), ("links", pa.int64()), ("other", pa.int64())])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        kept: dict[int, Page] = {}
+
+        def page(b: pa.RecordBatch, i: int, side: str) -> Page:
+            number, dims = b.column(f"{side}_page")[i].as_py(), b.column(f"{side}_dims")[i].as_py()
+            if number not in kept:
+                copies = b.column(f"{side}_copies")[i].values.to_numpy(zero_copy_only=False)
+                data = b.column(f"{side}_vectors")[i].as_buffer()
+                kept[number] = read_page(number, np.frombuffer(data, f"f{data.size // dims // len(copies)}").reshape(len(copies), dims), copies, cosine)
+            kept[number] = found = kept.pop(number)
+            while len(kept) > 2 and sum(p.units.nbytes + p.turned.nbytes for p in kept.values()) > KEPT_BYTES:
+                kept.pop(next(iter(kept)))
+            return found
+
+        for b in batches:
+            for i in range(b.num_rows):
+                cid, n, other = page_links(page(b, i, "a"), page(b, i, "b"), cosine)
+                if len(cid):
+                    yield arrow_batch(out, [pa.array(cid), pa.array(n), pa.array(other)])
+
+    return pairs.select(*[f"{side}_{c}" for side in "ab" for c in ("page", "dims", "copies", "vectors")]).mapInArrow(run, "cid long, links long, other long")
 
 
 def near_vectors(vectors: DataFrame, cosine: float = COSINE) -> DataFrame:
@@ -253,18 +385,21 @@ def near_vectors(vectors: DataFrame, cosine: float = COSINE) -> DataFrame:
     its rows are kept).  Repeated rows are rows; other columns are not read;
     an empty table gives an empty result.
     """
-    classes = vector_classes(vectors)
-    found = stage_table(links(classes, cosine), "embed-links")
+    paged = vector_classes(vectors)
+    found = stage_table(links(paged, cosine), "embed-links")
     labels = connected_components(found.filter("cid <> other").select(F.col("cid").alias("a"), F.col("other").alias("b")))
     counts = found.groupBy("cid").agg(F.sum("links").alias("links"))
+    each = F.posexplode(F.arrays_zip("copies", "smallest", "key_a", "key_b")).alias("_at", "_c")
+    classes = paged.select("page", each).select((F.col("page") * ROWS + F.col("_at")).alias("cid"), "_c.*")
     named = stage_table(classes.join(labels.withColumnRenamed("id", "cid"), "cid", "left").join(counts, "cid", "left").select(
-        "vector", "smallest", (F.col("copies") - 1 + F.coalesce("links", F.lit(0))).alias("n_links"), F.coalesce("label", "cid").alias("label")), "embed-named")
+        "key_a", "key_b", "smallest", (F.col("copies") - 1 + F.coalesce("links", F.lit(0))).alias("n_links"), F.coalesce("label", "cid").alias("label")), "embed-named")
     least = named.groupBy("label").agg(F.min("smallest").alias("component_id"))
-    named = stage_table(named.join(least, "label").select("vector", "n_links", "component_id"), "embed-groups")
+    named = named.join(least, "label").select("key_a", "key_b", "n_links", "component_id")
     rows = ids_and_vectors(vectors)
-    rows = rows.withColumn("vector", F.when(usable(F.col("vector")), F.col("vector")))
+    can = usable(F.col("vector"))
+    rows = rows.select("vec_id", *[F.when(can, key).alias(name) for name, key in zip(("key_a", "key_b"), keys(F.col("vector")), strict=True)])
     alone = F.col("n_links").isNull()
-    rows = rows.join(named, "vector", "left").withColumn("component_id", F.when(alone, F.col("vec_id")).otherwise(F.col("component_id")))
+    rows = rows.join(named, ["key_a", "key_b"], "left").withColumn("component_id", F.when(alone, F.col("vec_id")).otherwise(F.col("component_id")))
     return rows.select("vec_id", F.coalesce("n_links", F.lit(0)).alias("n_links"), "component_id", F.col("vec_id").eqNullSafe(F.col("component_id")).alias("kept"))
 
 

@@ -83,12 +83,67 @@ def test_budgets_hold_every_pair():
         assert near.any() and (met | ~near).all()
 
 
+def test_vectors_are_written_once(spark, monkeypatch):
+    """No vector is shuffled to the cells of its blocks: pages meet where they
+    are read, however many rows a cell has."""
+    rng = np.random.default_rng(8)
+    rows = [(i, rng.standard_normal(48).tolist()) for i in range(900)]
+    frame = spark.createDataFrame(rows, "vec_id long, embedding array<double>").repartition(3)
+    monkeypatch.setattr(embeddings, "CHUNK", 100)
+    found = embeddings.links(embeddings.vector_classes(frame))
+    plan = found._jdf.queryExecution().toString()
+    assert "CartesianProduct" in plan and "Exchange" not in plan
+    written, stage = [], embeddings.stage_table
+    monkeypatch.setattr(embeddings, "stage_table", lambda df, name: written.append(df) or stage(df, name))
+    assert embeddings.near_vectors(frame).count() == 900
+    assert not any(kind in ("binary", "array<double>") for df in written for _, kind in df.dtypes)
+
+
+def test_links_join_what_was_joined_before():
+    """A row of a part that two links join to others takes the whole part
+    along, as links come in several steps."""
+    label = np.arange(10)
+    for links in ([(7, 9), (8, 9)], [(7, 3), (8, 1)], [(5, 6)], [(6, 9), (2, 5)]):
+        label = embeddings.forest(*np.array(links).T, label)
+    assert label.tolist() == [0, 1, 1, 1, 4, 1, 1, 1, 1, 1]
+
+
+@pytest.mark.parametrize("spread", [0.01, 0.17])
+def test_crowds_of_two_pages(spread):
+    """Dense cells are taken in whole matrices: the same links and parts."""
+    rng = np.random.default_rng(11)
+    near = rng.standard_normal(24) + spread * rng.standard_normal((500, 24))
+    v = rng.permutation(np.concatenate([near, rng.standard_normal((200, 24)), near[:100] * 2]))
+    copies = rng.integers(1, 4, len(v))
+    sim = np.corrcoef(np.hstack([v, -v])) >= 0.95       # cosines: the mean is taken away
+    np.fill_diagonal(sim, False)
+    a, b = [embeddings.read_page(k, v[part], copies[part], 0.95) for k, part in enumerate((slice(0, 450), slice(450, 800)))]
+    links, label = {}, {}
+    for pair in ((a, a), (a, b), (b, b)):
+        for cid, n, other in zip(*embeddings.page_links(*pair, 0.95), strict=True):
+            links[cid] = links.get(cid, 0) + n
+            label.setdefault(cid, set()).add(other)
+    ids = np.concatenate([a.cid, b.cid])
+    assert [links.get(c, 0) for c in ids] == (sim @ copies).tolist()
+    at = {c: i for i, c in enumerate(ids)}
+    ends = [(at[c], at[o]) for c, others in label.items() for o in others]
+    mine = embeddings.forest(*np.array(ends).T, np.arange(800))
+    assert mine.tolist() == embeddings.forest(*np.nonzero(sim), np.arange(800)).tolist()
+
+
 def test_query_equals_brute_force(spark):
     t = pd.read_parquet(f"{SF}/embeddings.parquet")
     rows = list(zip(t.vec_id.tolist(), t.embedding.tolist(), strict=True))
     assert got(queries.QUERIES["op12_embedding_near_dedup"](spark, SF)) == slow(rows)
 
 
+def test_copies_with_either_zero(spark):
+    """Equal vectors are joined by their keys, 0.0 and -0.0 alike."""
+    rows = [(i, [0.0 if i % 2 else -0.0, 1.0, float(i % 3)]) for i in range(12)]
+    for kind in ("double", "float"):
+        assert got(embeddings.near_vectors(spark.createDataFrame(rows, f"vec_id long, embedding array<{kind}>"))) == slow(rows)
+
+
 def test_odd_input(spark):
     nan, inf = float("nan"), float("inf")
     rows = [(1, None), (2, []), (3, [0.0, -0.0]), (4, [1.0, None]), (5, [nan, 1.0]), (6, [inf, 1.0]), (7, [1.0, 2.0]), (7, [1.0, 2.0]),
