@@ -10,7 +10,8 @@ the directory being read.
 from __future__ import annotations
 
 import re
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -84,27 +85,61 @@ def append(df: DataFrame, target: str, *, is_path: bool = False, fmt: str = "par
         df.select(*cols).write.mode("append").insertInto(target)
 
 
+@contextmanager
+def shuffles_released(spark: SparkSession) -> Iterator[None]:
+    """The shuffle files of every write inside are removed as it ends, not when
+    the driver happens to collect its garbage: what is written is read from its
+    table from then on."""
+    key = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(key, None)
+    spark.conf.set(key, "true")
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(key)
+        else:
+            spark.conf.set(key, before)
+
+
 def overwrite_table(df: DataFrame, name: str | None = None, path: str | None = None,
                     sort_within: Sequence[str] | None = None, fmt: str = "parquet",
-                    properties: dict[str, str] | None = None) -> None:
+                    properties: dict[str, str] | None = None, **options) -> None:
     """Create-table-as-select after drop (K3).  ``sort_within`` is the
     column-store ``ORDER BY`` key (O3); no key means no sort.  ``properties``
-    become table properties (K8)."""
+    become table properties (K8), ``options`` are the writer's."""
     out = df.sortWithinPartitions(*sort_within) if sort_within else df
-    w = out.write.mode("overwrite").format(fmt)
+    w = out.write.mode("overwrite").format(fmt).options(**options)
     if path:
         w = w.option("path", path)
     if name:
-        w.saveAsTable(name)
+        with shuffles_released(df.sparkSession):
+            w.saveAsTable(name)
         if properties:
             props = ", ".join(f"'{k}' = '{v}'" for k, v in properties.items())
             df.sparkSession.sql(f"ALTER TABLE {name} SET TBLPROPERTIES ({props})")
     elif path:
-        w.save(path)
+        with shuffles_released(df.sparkSession):
+            w.save()
     else:
         raise ValueError("name or path required")
 
 
+def overwrite_table_in_parts(df: DataFrame, name: str, path: str, key: str, parts: int, fmt: str = "parquet", **options) -> None:
+    """Create-table-as-select whose rows come in ``parts`` by a hash of ``key``,
+    each in a job of its own: the shuffle files of one part are gone before
+    the next one's are written, so the disk holds the table and those of a
+    part.  Pays where ``key`` is the key of the joins, as the scans then leave
+    the other parts' rows out; the table is whole when the last part is in."""
+    for part in range(parts):
+        rows = df.filter(F.pmod(F.xxhash64(key), F.lit(parts)) == part)
+        if part == 0:
+            overwrite_table(rows, name=name, path=path, fmt=fmt, **options)
+        else:
+            with shuffles_released(df.sparkSession):
+                rows.write.mode("append").format(fmt).options(**options).option("path", path).saveAsTable(name)
+
+
 def write_clustered(df: DataFrame, path: str, keys: Sequence[str], files: int, mode: str = "overwrite") -> str:
     """Rows in key order over the whole folder (O3): files hold consecutive key
     ranges, from a sample of the keys, and are sorted inside, so the minimum
